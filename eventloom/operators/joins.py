@@ -10,6 +10,16 @@ from pyspark.sql import functions as F
 from eventloom.operators.windows import tumbling
 
 
+def _row_hash(df: DataFrame) -> Column:
+    # Variants and maps cannot be hashed as they are.
+    return F.xxhash64(
+        *[
+            F.to_json(name) if "variant" in kind or "map<" in kind else F.col(name)
+            for name, kind in df.dtypes
+        ]
+    )
+
+
 def window_join(
     left: DataFrame,
     right: DataFrame,
@@ -25,13 +35,18 @@ def window_join(
     no such re-planning: there ``salts`` > 1 spreads a group over that many tasks, by
     a hash of the left row, and repeats the right rows as often.
     """
-    lhs = left.select(tumbling(ts, width).alias("window"), key, F.struct(*left.columns).alias("l"))
+    salt = F.pmod(_row_hash(left), F.lit(salts)).cast("int").alias("_salt")
+    lhs = left.select(
+        tumbling(ts, width).alias("window"),
+        key,
+        F.struct(*left.columns).alias("l"),
+        *([salt] if salts > 1 else []),
+    )
     rhs = right.select(
         tumbling(ts, width).alias("window"), key, F.struct(*right.columns).alias("r")
     )
     on = ["window", key]
     if salts > 1:
-        lhs = lhs.withColumn("_salt", F.pmod(F.xxhash64("l"), F.lit(salts)).cast("int"))
         rhs = rhs.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         on.append("_salt")
     return lhs.join(rhs, on).select("window", key, "l", "r")

@@ -68,9 +68,10 @@ def window_max_by(
     )
 
 
-def window_counts(df: DataFrame, key: str, ts: str, width: str) -> DataFrame:
-    counts = df.groupBy(tumbling(ts, width).alias("window"), key).agg(F.count(F.lit(1)).alias("n"))
-    return counts.select(F.col("window.start").alias("window_start"), key, "n")
+def window_counts(df: DataFrame, key: str, ts: str, width: str, out: str = "n") -> DataFrame:
+    """``(window_start, key, out)``: rows per key and window."""
+    counts = df.groupBy(tumbling(ts, width).alias("window"), key).agg(F.count(F.lit(1)).alias(out))
+    return counts.select(F.col("window.start").alias("window_start"), key, out)
 
 
 def cumulate_windows(
