@@ -73,7 +73,8 @@ class _UntilDelimiter(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         waiting: list[tuple[str]] = []
-        for row in sorted(rows, key=lambda r: r.place):
+        # A struct comes as a dict in field order.
+        for row in sorted(rows, key=lambda r: tuple(r.place.values())):
             if not row.is_mark:
                 waiting.append((row.item,))
                 continue
