@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.strings import path_stem
+from eventloom.operators.routing import NAV, PAGE, select_route
 
 
 def explode_two_levels(
@@ -27,53 +28,57 @@ def nonempty(df: DataFrame, key: str) -> DataFrame:
     return df.where(F.col(key).isNotNull() & (F.col(key) != ""))
 
 
-def _cards(df: DataFrame, doc: str, keep: list[str]) -> DataFrame:
-    return df.select(
-        *keep,
-        F.col(f"{doc}.header.fileTime").alias("fileTime"),
-        F.col(f"{doc}.header.contentsTime").alias("contentsTime"),
-        F.col(f"{doc}.header.fileContents").alias("fileContents"),
-        F.explode(F.col(f"{doc}.body.cards")).alias("_card"),
-    )
-
-
 def _known(any_value: Column) -> Column:
     # An explicit JSON null counts as absent.
     return F.when(~F.is_variant_null(any_value), any_value)
 
 
-def _card_columns(keep: list[str], key: Column) -> list[Column]:
-    # Time and path come from the header, whatever the card itself says.
-    return [
-        *[F.col(c) for c in keep],
-        key.alias("key"),
+def keyed_cards(
+    log: DataFrame, doc: str = "doc", keep: list[str] | None = None, strict: bool = False
+) -> DataFrame:
+    """One row per card of the routed navigation and page records, in one pass.
+
+    A navigation card has its own id as ``key``, a page card the page name in the
+    header's path; a card without key gives no row. Time and path come from the header,
+    whatever the card itself says.
+    """
+    path = F.col(f"{doc}.header.fileContents")
+    cards = log.where(F.col("route").isin(NAV, PAGE)).select(
+        *(keep or []),
+        "route",
+        F.when(F.col("route") == PAGE, path_stem(path, strict=strict)).alias("_page"),
+        F.col(f"{doc}.header").alias("_header"),
+        F.explode(F.col(f"{doc}.body.cards")).alias("_card"),
+    )
+    is_page = F.col("route") == PAGE
+    keyed = cards.withColumn("key", F.when(is_page, F.col("_page")).otherwise(F.col("_card.id")))
+    return keyed.where(F.col("key").isNotNull() & ~(is_page & (F.col("key") == ""))).select(
+        *(keep or []),
+        "route",
+        "key",
         F.col("_card.id").alias("id"),
         _known(F.col("_card.source")).alias("source"),
         _known(F.col("_card.title")).alias("title"),
-        F.col("fileTime"),
-        F.col("contentsTime"),
-        F.col("fileContents"),
-    ]
+        F.col("_header.fileTime").alias("fileTime"),
+        F.col("_header.contentsTime").alias("contentsTime"),
+        F.col("_header.fileContents").alias("fileContents"),
+    )
 
 
-def nav_cards(df: DataFrame, doc: str = "doc", keep: list[str] | None = None) -> DataFrame:
-    """One row per card of a navigation record, keyed by the card's id; no id, no row."""
-    keep = keep or []
-    cards = _cards(df, doc, keep)
-    return cards.select(*_card_columns(keep, F.col("_card.id"))).where(F.col("key").isNotNull())
+def nav_cards(log: DataFrame, doc: str = "doc", keep: list[str] | None = None) -> DataFrame:
+    """The cards of the navigation records of a routed log, keyed by card id."""
+    return keyed_cards(select_route(log, NAV), doc, keep).drop("route")
 
 
 def page_cards(
-    df: DataFrame, doc: str = "doc", keep: list[str] | None = None, strict: bool = False
+    log: DataFrame, doc: str = "doc", keep: list[str] | None = None, strict: bool = False
 ) -> DataFrame:
-    """One row per card of a page record, keyed by the page name in the header's path."""
-    keep = keep or []
-    cards = _cards(df, doc, keep)
-    key = path_stem(F.col("fileContents"), strict=strict)
-    return cards.select(*_card_columns(keep, key)).where(F.col("key") != "")
+    """The cards of the page records of a routed log, keyed by page name."""
+    return keyed_cards(select_route(log, PAGE), doc, keep, strict).drop("route")
 
 
-def pages_without_key(df: DataFrame, doc: str = "doc") -> DataFrame:
-    """Number of page records that :func:`page_cards` drops for want of a page name."""
+def pages_without_key(log: DataFrame, doc: str = "doc") -> DataFrame:
+    """Number of page records without a page name, whose cards are therefore dropped."""
     path = F.col(f"{doc}.header.fileContents")
-    return df.agg(F.count_if(F.coalesce(path_stem(path), F.lit("")) == "").alias("n_without_key"))
+    no_name = F.coalesce(path_stem(path), F.lit("")) == ""
+    return select_route(log, PAGE).agg(F.count_if(no_name).alias("n_without_key"))

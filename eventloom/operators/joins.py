@@ -68,19 +68,27 @@ def window_cogroup(
     inputs are put under each other and aggregated before and after one shuffle, so
     a large group is never gathered, unless ``aggs`` asks for a list.
     """
-    l_type, r_type = (
-        left.select(F.struct(*left.columns).alias("l")).schema["l"].dataType,
-        right.select(F.struct(*right.columns).alias("r")).schema["r"].dataType,
-    )
-    lhs = left.select(
-        ts, key, F.struct(*left.columns).alias("l"), F.lit(None).cast(r_type).alias("r")
-    )
-    rhs = right.select(
-        ts, key, F.lit(None).cast(l_type).alias("l"), F.struct(*right.columns).alias("r")
-    )
-    groups = lhs.unionByName(rhs).groupBy(tumbling(ts, width).alias("window"), key)
-    result = groups.agg(
-        F.count("l").alias("n_left"), F.count("r").alias("n_right"), *aggs
+    l_row, r_row = F.struct(*left.columns).alias("l"), F.struct(*right.columns).alias("r")
+    l_type = left.select(l_row).schema["l"].dataType
+    r_type = right.select(r_row).schema["r"].dataType
+    lhs = left.select(ts, key, l_row, F.lit(None).cast(r_type).alias("r"))
+    rhs = right.select(ts, key, F.lit(None).cast(l_type).alias("l"), r_row)
+    is_left = F.col("l").isNotNull()
+    return cogroup_tagged(lhs.unionByName(rhs), key, ts, width, is_left, aggs, marker)
+
+
+def cogroup_tagged(
+    both: DataFrame,
+    key: str,
+    ts: str,
+    width: str,
+    is_left: Column,
+    aggs: Sequence[Column] = (),
+    marker: str = "yes",
+) -> DataFrame:
+    """:func:`window_cogroup` of two inputs that already are one, read in one pass."""
+    result = both.groupBy(tumbling(ts, width).alias("window"), key).agg(
+        F.count_if(is_left).alias("n_left"), F.count_if(~is_left).alias("n_right"), *aggs
     )
     extra = [c for c in result.columns if c not in ("window", key, "n_left", "n_right")]
     return result.select(

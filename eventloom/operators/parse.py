@@ -21,20 +21,19 @@ def parse_delimited(
     One missing or malformed field fails the job, also when its column is not used
     later: the check sits in a filter, which column pruning keeps.
     """
-    schema = _struct(schema)
-    parts = F.split(F.col(value), f"\\Q{sep}\\E")
-    fields = [
-        F.get(parts, F.lit(i)).try_cast(field.dataType) for i, field in enumerate(schema.fields)
-    ]
+    fields = _struct(schema).fields
+    # As the output of a generator the line is cut once, not once per field and filter.
+    cut = df.select(value, F.explode(F.array(F.split(F.col(value), f"\\Q{sep}\\E"))).alias("_p"))
+    typed = cut.select(
+        F.col(value).alias("_line"),
+        *[F.get("_p", F.lit(i)).try_cast(f.dataType).alias(f.name) for i, f in enumerate(fields)],
+    )
     complete = F.lit(True)
     for field in fields:
-        complete = complete & field.isNotNull()
-    checked = F.when(complete, F.lit(True)).otherwise(
-        F.raise_error(F.concat(F.lit("bad line: "), F.coalesce(value, F.lit("null")))).cast("boolean")
-    )
-    return df.where(checked).select(
-        *[field.alias(schema.fields[i].name) for i, field in enumerate(fields)]
-    )
+        complete = complete & F.col(field.name).isNotNull()
+    message = F.concat(F.lit("bad line: "), F.coalesce("_line", F.lit("null")))
+    checked = F.when(complete, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    return typed.where(checked).drop("_line")
 
 
 def parse_json(

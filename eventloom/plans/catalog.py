@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from eventloom.functions.strings import key_label, split_whitespace
 from eventloom.operators import flatten, joins, lookup, ordered, parse, relational, windows
-from eventloom.operators.routing import NAV, PAGE, select_route
 from eventloom.plans import derive, jobs
-from eventloom.session import scratch_path
+from eventloom.session import scratch_path, spread
 from eventloom.sources import keyword_rows, read_folder, read_lines, stream_lines
 from eventloom.streaming.sinks import run_to_end
 
@@ -37,6 +36,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """For queries that make and parse text: every core gets a part of a small table."""
+    return spread(table(spark, folder, name))
+
+
 def _text_folder(lines: DataFrame, name: str) -> str:
     """Write ``value`` as text files to the shared folder, as a log collector would."""
     path = scratch_path(lines.sparkSession, name)
@@ -74,7 +78,7 @@ def keyword_sequence(spark, folder):
 
 
 def delimited_parse(spark, folder):
-    lines = derive.lineitem_lines(table(spark, folder, "lineitem"), list(LINE_FIELDS))
+    lines = derive.lineitem_lines(spread_table(spark, folder, "lineitem"), list(LINE_FIELDS))
     schema = ", ".join(f"{name} {kind}" for name, kind in LINE_FIELDS.items())
     return parse.parse_delimited(lines, schema)
 
@@ -84,7 +88,7 @@ def sql_group_count(spark, folder):
 
 
 def sql_topk(spark, folder):
-    return jobs.top_players(derive.score_lines(table(spark, folder, "orders")), 3)
+    return jobs.top_players(derive.score_lines(spread_table(spark, folder, "orders")), 3)
 
 
 def json_parse(spark, folder):
@@ -103,31 +107,31 @@ def json_quarantine(spark, folder):
 
 
 def json_nested_explode(spark, folder):
-    lines = derive.content_lines(table(spark, folder, "lineitem"))
+    lines = derive.content_lines(spread_table(spark, folder, "lineitem"))
     docs = parse.good_rows(parse.parse_json(lines, jobs.CONTENT_SCHEMA))
     rows = flatten.explode_two_levels(docs, "doc.ZT_content", "ZT_leaf_video", "ctype", "ctype")
     return rows.groupBy("ctype").agg(F.sum("n").alias("n"))
 
 
 def filter_nonempty(spark, folder):
-    rows = jobs.content_types(derive.content_lines(table(spark, folder, "lineitem")))
+    rows = jobs.content_types(derive.content_lines(spread_table(spark, folder, "lineitem")))
     return rows.groupBy("ctype").agg(F.sum("n").alias("n"))
 
 
 def content_totals(spark, folder):
-    lines = derive.content_lines(table(spark, folder, "lineitem"))
+    lines = derive.content_lines(spread_table(spark, folder, "lineitem"))
     return jobs.content_totals(lines, "ts", "1 day")
 
 
 def tokenize(spark, folder):
     words = F.explode(split_whitespace(F.col("text"))).alias("word")
-    return table(spark, folder, "documents").select("doc_id", words, F.lit(1).alias("n"))
+    return spread_table(spark, folder, "documents").select("doc_id", words, F.lit(1).alias("n"))
 
 
 def windowed_word_count(spark, folder):
     start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
     second = F.make_dt_interval(secs=F.col("doc_id"))
-    lines = table(spark, folder, "documents").select(
+    lines = spread_table(spark, folder, "documents").select(
         (start + second).alias("ts"), F.col("text").alias("value")
     )
     return jobs.word_counts(lines, "ts", "5 seconds")
@@ -172,7 +176,7 @@ def seeded_window_count(spark, folder):
 
 
 def split_route(spark, folder):
-    log = jobs.page_log(derive.page_lines(table(spark, folder, "events")))
+    log = jobs.page_log(derive.page_lines(spread_table(spark, folder, "events")))
     return log.select("event_id", "route")
 
 
@@ -189,32 +193,32 @@ def _card_texts(cards: DataFrame) -> DataFrame:
 
 
 def nav_cards(spark, folder):
-    log = jobs.page_log(derive.page_lines(table(spark, folder, "events")))
-    return _card_texts(flatten.nav_cards(select_route(log, NAV)))
+    log = jobs.page_log(derive.page_lines(spread_table(spark, folder, "events")))
+    return _card_texts(flatten.nav_cards(log))
 
 
 def page_cards(spark, folder):
-    log = jobs.page_log(derive.page_lines(table(spark, folder, "events")))
-    return _card_texts(flatten.page_cards(select_route(log, PAGE)))
+    log = jobs.page_log(derive.page_lines(spread_table(spark, folder, "events")))
+    return _card_texts(flatten.page_cards(log))
 
 
 def json_project(spark, folder):
-    log = jobs.page_log(derive.page_lines(table(spark, folder, "events")))
-    cards = flatten.page_cards(select_route(log, PAGE))
+    log = jobs.page_log(derive.page_lines(spread_table(spark, folder, "events")))
+    cards = flatten.page_cards(log)
     record = F.struct("source", "title", F.col("key").alias("pageId"))
     return cards.select(F.to_json(record).alias("value"))
 
 
 def page_join(spark, folder):
-    return jobs.join_pages(derive.page_lines(table(spark, folder, "events")), "1 day")
+    return jobs.join_pages(derive.page_lines(spread_table(spark, folder, "events")), "1 day")
 
 
 def page_cogroup(spark, folder):
-    return jobs.cogroup_pages(derive.page_lines(table(spark, folder, "events")), "1 day")
+    return jobs.cogroup_pages(derive.page_lines(spread_table(spark, folder, "events")), "1 day")
 
 
 def page_join_stream(spark, folder):
-    path = _text_folder(derive.page_lines(table(spark, folder, "events")), "page-log")
+    path = _text_folder(derive.page_lines(spread_table(spark, folder, "events")), "page-log")
     # One batch with all files: no row can be late.
     return run_to_end(jobs.join_pages(stream_lines(spark, path), "1 day"), "page-join")
 

@@ -7,12 +7,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.strings import split_whitespace
-from eventloom.operators.flatten import explode_two_levels, nav_cards, nonempty, page_cards
-from eventloom.operators.joins import window_cogroup, window_join
+from eventloom.operators.flatten import explode_two_levels, keyed_cards, nonempty
+from eventloom.operators.joins import cogroup_tagged, window_join
 from eventloom.operators.parse import good_rows, parse_delimited, parse_json
 from eventloom.operators.relational import run_sql
 from eventloom.operators.routing import NAV, PAGE, add_route, select_route
 from eventloom.operators.windows import running_total_per_window, windowed_sum, with_event_time
+from eventloom.session import stage_table
 
 # Field names and types of the three record kinds.
 SCORE_SCHEMA = (
@@ -64,17 +65,11 @@ def page_log(lines: DataFrame, strict: bool = False) -> DataFrame:
     return add_route(parse_json(lines, PAGE_LOG_SCHEMA, strict=strict))
 
 
-def page_sides(
-    lines: DataFrame, delay: str = "0 seconds", strict: bool = False
-) -> tuple[DataFrame, DataFrame]:
-    """The keyed navigation cards and page cards, each ``(key, ts, source, title)``."""
-    log = page_log(lines, strict)
-    nav = nav_cards(select_route(log, NAV))
-    page = page_cards(select_route(log, PAGE), strict=strict)
-    columns = ["key", "ts", "source", "title"]
-    return (
-        with_event_time(nav, "fileTime", delay, out="ts").select(*columns),
-        with_event_time(page, "fileTime", delay, out="ts").select(*columns),
+def page_cards(lines: DataFrame, delay: str = "0 seconds", strict: bool = False) -> DataFrame:
+    """The keyed cards of both record kinds: ``(route, key, ts, source, title)``."""
+    cards = keyed_cards(page_log(lines, strict), strict=strict)
+    return with_event_time(cards, "fileTime", delay, out="ts").select(
+        "route", "key", "ts", "source", "title"
     )
 
 
@@ -95,8 +90,15 @@ def page_record() -> Column:
 def join_pages(
     lines: DataFrame, width: str = "5 seconds", delay: str = "0 seconds", salts: int = 1
 ) -> DataFrame:
-    """Navigation cards joined with the cards of the page they lead to, as JSON lines."""
-    nav, page = page_sides(lines, delay)
+    """Navigation cards joined with the cards of the page they lead to, as JSON lines.
+
+    A table of lines is read and parsed once: the cards are staged by route, and each
+    side of the join reads its own. A stream reads its source once per side.
+    """
+    cards = page_cards(lines, delay)
+    if not lines.isStreaming:
+        cards = stage_table(cards, "cards", partition_by="route")
+    nav, page = (select_route(cards, side).drop("route") for side in (NAV, PAGE))
     pairs = window_join(nav, page, "key", "ts", width, salts=salts)
     return pairs.select(page_record().alias("value"))
 
@@ -104,6 +106,6 @@ def join_pages(
 def cogroup_pages(
     lines: DataFrame, width: str = "5 seconds", delay: str = "0 seconds"
 ) -> DataFrame:
-    """One row per page and window with the number of cards on either side."""
-    nav, page = page_sides(lines, delay)
-    return window_cogroup(nav.select("key", "ts"), page.select("key", "ts"), "key", "ts", width)
+    """One row per page and window with the number of cards on either side, in one pass."""
+    cards = page_cards(lines, delay)
+    return cogroup_tagged(cards, "key", "ts", width, is_left=F.col("route") == NAV)

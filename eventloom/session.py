@@ -60,12 +60,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_shared_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def stage_table(df: DataFrame, name: str) -> DataFrame:
+def stage_table(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back.
 
     Cuts the lineage, pins values such as partition numbers that a recomputation could
-    change, and lets later passes read only the columns they need.
+    change, and lets later passes read only the columns (and with ``partition_by`` only
+    the rows) they need.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a part of a table that was read in fewer partitions than that.
+
+    For costly parsing of few or unsplittable files. A scan with enough partitions, as of
+    any large table, is returned as it is, without a shuffle. ``df`` is to be a plain scan.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)

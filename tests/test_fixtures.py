@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from eventloom.operators import flatten, lookup, parse, windows
 from eventloom.operators.ordered import delimiter_segments, running_total
 from eventloom.operators.relational import group_count, register_table
-from eventloom.operators.routing import NAV, PAGE, select_route, write_routes
+from eventloom.operators.routing import NAV, select_route, write_routes
 from eventloom.plans import jobs
 from eventloom.sources import keyword_rows
 from tests_data import PAGES
@@ -92,15 +92,16 @@ def test_page_routes_and_cards(spark, new_folder):
     log = jobs.page_log(lines(spark, PAGES.values()))
     routes = {r.value: r.route for r in log.collect()}
     assert [routes[PAGES[k]] for k in PAGES] == ["NAV", "PAGE", "PAGE"] + ["NULL_TYPE"] * 3
-    nav = flatten.nav_cards(select_route(log, NAV)).collect()
+    nav = flatten.nav_cards(log).collect()
     assert sorted(r.key for r in nav) == ["P1", "P9"]
     assert {r.fileContents for r in nav} == {"a/NAV.json"}
-    page = flatten.page_cards(select_route(log, PAGE)).collect()
+    page = flatten.page_cards(log).collect()
     assert sorted(r.key for r in page) == ["P1", "P1", "P2"]
 
     path = new_folder("routes") + "/table"
     write_routes(log.select("value", "route"), path)
     stored = spark.read.parquet(path)
+    assert [r.value for r in select_route(stored, NAV).collect()] == [PAGES["n1"]]
     assert {r.route: r["count"] for r in stored.groupBy("route").count().collect()} == {
         "NAV": 1,
         "PAGE": 2,
@@ -113,7 +114,7 @@ def test_page_paths_without_name_are_counted(spark):
         return json.dumps({"header": {"fileContents": path}, "body": {"cards": [{"id": "c"}]}})
 
     paths = ["a/b.json", "x/.json", "nojson", "a.json/b"]
-    log = select_route(jobs.page_log(lines(spark, [page(p) for p in paths])), PAGE)
+    log = jobs.page_log(lines(spark, [page(p) for p in paths]))
     assert [r.key for r in flatten.page_cards(log).collect()] == ["b"]
     assert flatten.pages_without_key(log).first().n_without_key == 3
     with pytest.raises(Exception, match="no .json file name"):

@@ -1,7 +1,9 @@
 """Streams against the same operator on a table, and across restarts."""
 
 import datetime
+import itertools
 import os
+import time
 from collections import Counter
 
 import pytest
@@ -25,9 +27,16 @@ from tests_data import PAGES
 SCHEMA = "id bigint, sec bigint, k string, v bigint"
 
 
+WRITTEN = itertools.count(int(time.time()) - 10_000)
+
+
 def put(folder, name, texts):
-    with open(os.path.join(folder, name), "w") as out:
+    path = os.path.join(folder, name)
+    with open(path, "w") as out:
         out.write("".join(f"{t}\n" for t in texts))
+    # The stream takes files in the order of their times: a second apart, one by one.
+    second = next(WRITTEN)
+    os.utime(path, (second, second))
 
 
 def put_rows(folder, name, rows):
