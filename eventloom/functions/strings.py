@@ -28,10 +28,13 @@ def path_stem(path: Column, strict: bool = False) -> Column:
 
     A path whose last part has no ``.json`` gives ``''``; with ``strict`` it raises.
     """
-    stem = F.regexp_extract(path, r"([^/]*)\.json[^/]*$", 1)
+    last = F.substring_index(path, "/", -1)
+    # What follows the last suffix, or all of it where there is none (length then < 0).
+    tail = F.substring_index(last, PAGE_SUFFIX, -1)
+    length = F.length(last) - F.length(tail) - len(PAGE_SUFFIX)
+    stem = F.substring(last, F.lit(1), length)
     if not strict:
         return stem
-    last = F.substring_index(path, "/", -1)
     return F.when(path.isNull() | last.contains(PAGE_SUFFIX), stem).otherwise(
         F.raise_error(F.concat(F.lit("no .json file name in path: "), path)).cast("string")
     )

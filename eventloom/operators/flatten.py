@@ -43,16 +43,16 @@ def keyed_cards(
     whatever the card itself says.
     """
     path = F.col(f"{doc}.header.fileContents")
+    is_page = F.col("route") == PAGE
     cards = log.where(F.col("route").isin(NAV, PAGE)).select(
         *(keep or []),
         "route",
-        F.when(F.col("route") == PAGE, path_stem(path, strict=strict)).alias("_page"),
+        F.when(is_page, path_stem(path, strict=strict)).alias("_page"),
         F.col(f"{doc}.header").alias("_header"),
         F.explode(F.col(f"{doc}.body.cards")).alias("_card"),
     )
-    is_page = F.col("route") == PAGE
-    keyed = cards.withColumn("key", F.when(is_page, F.col("_page")).otherwise(F.col("_card.id")))
-    return keyed.where(F.col("key").isNotNull() & ~(is_page & (F.col("key") == ""))).select(
+    key = F.when(is_page, F.nullif("_page", F.lit(""))).otherwise(F.col("_card.id"))
+    return cards.withColumn("key", key).where(F.col("key").isNotNull()).select(
         *(keep or []),
         "route",
         "key",

@@ -58,12 +58,20 @@ def latest_dirty(
 def upsert(
     base: DataFrame, changes: DataFrame, key: str, value: str, seq: str, dirty: str = "is_updated"
 ) -> DataFrame:
-    """``base(key, value)`` after writing back the dirty ``changes``; the last one wins."""
-    start = base.select(key, value, F.lit(None).cast(changes.schema[seq].dataType).alias(seq))
-    written = changes.where(F.col(dirty)).select(key, value, seq)
-    # The base comes before every change.
-    rank = F.struct(F.col(seq).isNotNull(), F.col(seq))
-    return start.unionByName(written).groupBy(key).agg(F.max_by(value, rank).alias(value))
+    """``base(key, value)`` after writing back the dirty ``changes``; the last one wins.
+
+    ``base`` has one row per key, and every change has a ``seq``.
+    """
+    no_seq = F.lit(None).cast(changes.schema[seq].dataType).alias(seq)
+    start = base.select(key, F.col(value).alias("_base"), F.lit(None).alias(value), no_seq)
+    written = changes.where(F.col(dirty)).select(key, F.lit(None).alias("_base"), value, seq)
+    merged = start.unionByName(written).groupBy(key).agg(
+        F.max(seq).alias(seq),
+        F.max_by(value, seq).alias(value),
+        F.first("_base", ignorenulls=True).alias("_base"),
+    )
+    changed = F.when(F.col(seq).isNotNull(), F.col(value)).otherwise(F.col("_base"))
+    return merged.select(key, changed.alias(value))
 
 
 def recent_keys(accesses: DataFrame, key: str, seq: str, n: int) -> DataFrame:

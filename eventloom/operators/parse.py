@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +25,7 @@ def parse_delimited(
     """
     fields = _struct(schema).fields
     # As the output of a generator the line is cut once, not once per field and filter.
-    cut = df.select(value, F.explode(F.array(F.split(F.col(value), f"\\Q{sep}\\E"))).alias("_p"))
+    cut = df.select(value, F.explode(F.array(F.split(F.col(value), re.escape(sep)))).alias("_p"))
     typed = cut.select(
         F.col(value).alias("_line"),
         *[F.get("_p", F.lit(i)).try_cast(f.dataType).alias(f.name) for i, f in enumerate(fields)],
