@@ -1,5 +1,5 @@
 """Event and line-data operators for PySpark, usable on tables and on streams."""
 
-from eventloom.session import build_session, scratch_path, stage_table
+from eventloom.session import build_session, drop_scratch, scratch_path, stage_table
 
-__all__ = ["build_session", "scratch_path", "stage_table"]
+__all__ = ["build_session", "drop_scratch", "scratch_path", "stage_table"]

@@ -1,19 +1,24 @@
-"""The end-to-end jobs: lines in, result rows out. All but the SQL top-k and the content
-totals also run on streams."""
+"""The end-to-end jobs: lines in, result rows out. All but the SQL top-k also run on streams."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.functions.strings import split_whitespace
+from eventloom.functions.strings import key_label, split_whitespace
 from eventloom.operators.flatten import explode_two_levels, keyed_cards, nonempty
 from eventloom.operators.joins import cogroup_tagged, window_join
 from eventloom.operators.parse import good_rows, parse_delimited, parse_json
 from eventloom.operators.relational import run_sql
 from eventloom.operators.routing import NAV, PAGE, add_route, select_route
-from eventloom.operators.windows import running_total_per_window, windowed_sum, with_event_time
+from eventloom.operators.windows import (
+    cumulative_window_count,
+    running_total_per_window,
+    windowed_sum,
+    with_event_time,
+)
 from eventloom.session import stage_table
+from eventloom.streaming.stateful import cumulative_window_count_stream
 
 # Field names and types of the three record kinds.
 SCORE_SCHEMA = (
@@ -48,8 +53,23 @@ def content_types(lines: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 
 def content_totals(lines: DataFrame, ts: str = "ts", width: str = "5 seconds") -> DataFrame:
-    """Largest running total per content type and window (tables only)."""
-    return running_total_per_window(content_types(lines, [ts]), "ctype", ts, width, "n")
+    """``(window_start, ctype, total)``: largest running total per content type and window."""
+    types = content_types(lines, [ts])
+    if lines.isStreaming:
+        totals = cumulative_window_count_stream(types, "ctype", ts, width)
+        return totals.select("window_start", "ctype", "total")
+    return running_total_per_window(types, "ctype", ts, width, "n")
+
+
+def keyword_counts(rows: DataFrame, ts: str = "ts", width: str = "2 seconds") -> DataFrame:
+    """``(total, label)`` per keyword and window: how often the keyword came so far."""
+    if rows.isStreaming:
+        counts = cumulative_window_count_stream(rows, "keyword", ts, width)
+    else:
+        counts = cumulative_window_count(rows, "keyword", ts, width).withColumn(
+            "label", key_label(F.col("keyword"))
+        )
+    return counts.select("total", "label")
 
 
 def word_counts(lines: DataFrame, ts: str = "ts", width: str = "5 seconds") -> DataFrame:

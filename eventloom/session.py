@@ -60,6 +60,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_shared_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove what this application put under the shared folder; call it at the very end."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{_shared_root(spark)}/{spark.sparkContext.applicationId}")
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(folder, True)
+
+
 def stage_table(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back.
 

@@ -1,4 +1,4 @@
-from eventloom.streaming.sinks import console_sink, each_batch, file_sink, run_to_end
+from eventloom.streaming.sinks import console_sink, each_batch, each_record, file_sink, run_to_end
 from eventloom.streaming.stateful import (
     cumulative_window_count_stream,
     delimiter_segments_stream,
@@ -10,6 +10,7 @@ __all__ = [
     "cumulative_window_count_stream",
     "delimiter_segments_stream",
     "each_batch",
+    "each_record",
     "file_sink",
     "run_to_end",
     "running_totals_stream",

@@ -51,6 +51,19 @@ def each_batch(
     return _trigger(writer.option("checkpointLocation", checkpoint), every).start()
 
 
+def each_record(
+    df: DataFrame, writer: object, checkpoint: str, every: str | None = "20 seconds"
+) -> StreamingQuery:
+    """Hand single rows to ``writer`` in the executors.
+
+    ``writer`` has ``open(partition_id, batch_id)``, ``process(row)`` and ``close(error)``.
+    A repeated batch comes with the same two numbers. For tables and files prefer
+    :func:`each_batch`: rows then stay in the JVM.
+    """
+    stream = df.writeStream.foreach(writer).option("checkpointLocation", checkpoint)
+    return _trigger(stream, every).start()
+
+
 def run_to_end(df: DataFrame, name: str) -> DataFrame:
     """Run a stream over all that its source holds now; the appended rows as a table."""
     spark = df.sparkSession

@@ -36,7 +36,9 @@ class _WindowTotal(StatefulProcessor):
         # One row per closed window, never one per event.
         for row in sorted(rows, key=lambda r: r.window_start):
             total += row.n
-            yield Row(window_start=row.window_start, label=row.label, n=row.n, total=total)
+            yield Row(
+                window_start=row.window_start, key=row.key, label=row.label, n=row.n, total=total
+            )
         self._total.update((total,))
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
@@ -46,7 +48,7 @@ class _WindowTotal(StatefulProcessor):
 def cumulative_window_count_stream(
     df: DataFrame, key: str, ts: str, width: str, seed: DataFrame | None = None
 ) -> DataFrame:
-    """``(window_start, label, n, total)`` when a window closes; ``label`` is ``(key)``.
+    """``(window_start, key, label, n, total)`` when a window closes; ``label`` is ``(key)``.
 
     ``df`` needs a watermark on ``ts``. Events are counted per key and window by a
     built-in aggregate; the state processor sees only the counts. ``seed(key, seed)``
@@ -54,14 +56,23 @@ def cumulative_window_count_stream(
     """
     counts = df.groupBy(tumbling(ts, width).alias("window"), key).agg(F.count(F.lit(1)).alias("n"))
     closed = counts.select(
-        F.col("window.start").alias("window_start"), key, key_label(F.col(key)).alias("label"), "n"
+        F.col("window.start").alias("window_start"),
+        F.col(key).alias("key"),
+        key_label(F.col(key)).alias("label"),
+        "n",
     )
-    return closed.groupBy(key).transformWithState(
-        statefulProcessor=_WindowTotal(),
-        outputStructType="window_start timestamp, label string, n bigint, total bigint",
-        outputMode="append",
-        timeMode="None",
-        initialState=seed.groupBy(key) if seed is not None else None,
+    start = seed.select(F.col(key).alias("key"), "seed").groupBy("key") if seed is not None else None
+    out = T.StructType([*closed.schema.fields, T.StructField("total", T.LongType())])
+    return (
+        closed.groupBy("key")
+        .transformWithState(
+            statefulProcessor=_WindowTotal(),
+            outputStructType=out,
+            outputMode="append",
+            timeMode="None",
+            initialState=start,
+        )
+        .withColumnRenamed("key", key)
     )
 
 

@@ -11,18 +11,19 @@ from pyspark.sql import functions as F
 
 from eventloom.operators import joins, windows
 from eventloom.plans import jobs
-from eventloom.sources import keyword_stream, read_folder, read_lines, stream_lines
+from eventloom.sources import keyword_rows, keyword_stream, read_folder, read_lines, stream_lines
 from eventloom.streaming import (
     console_sink,
     cumulative_window_count_stream,
     delimiter_segments_stream,
+    each_record,
     file_sink,
     run_to_end,
     running_totals_stream,
 )
 from eventloom.streaming.sinks import batch_folder, change_log, read_upserted
 from eventloom.streaming.stateful import CarriedSegments
-from tests_data import PAGES
+from tests_data import CONTENT, PAGES
 
 SCHEMA = "id bigint, sec bigint, k string, v bigint"
 
@@ -276,7 +277,7 @@ def test_cumulative_count_goes_on_after_restart(spark, new_folder):
         put_rows(folder, f"{i}.csv", ROWS[16 * i : 16 * i + 16])
         run()
     table = windows.cumulative_window_count(csv_table(spark, folder), "k", "ts", "5 seconds")
-    expected = Counter((r.window_start, f"({r.k})", r.n, r.total) for r in closed(table, 5))
+    expected = Counter((r.window_start, r.k, f"({r.k})", r.n, r.total) for r in closed(table, 5))
     assert collected(spark.read.parquet(out)) == expected
 
 
@@ -290,11 +291,100 @@ def test_cumulative_count_from_seed(spark, new_folder):
     table = windows.cumulative_window_count(
         csv_table(spark, folder), "k", "ts", "5 seconds", seed=seed
     )
-    expected = Counter((r.window_start, f"({r.k})", r.n, r.total) for r in closed(table, 5))
-    assert max(r[3] for r in expected) > 100
+    expected = Counter((r.window_start, r.k, f"({r.k})", r.n, r.total) for r in closed(table, 5))
+    assert max(r[4] for r in expected) > 100
     assert collected(run_to_end(counts, "seeded")) == expected
 
 
+def test_content_totals_stream(spark, new_folder):
+    folder = new_folder("in")
+    put(folder, "1.log", [f"00:00:01|{line}" for line in CONTENT])
+    put(folder, "2.log", [f"00:00:06|{CONTENT[0]}", f"00:00:11|{CONTENT[1]}"])
+
+    def totals(lines):
+        parts = lines.select(
+            F.concat(F.lit("2024-01-01 "), F.substring_index("value", "|", 1)).alias("ts"),
+            F.substring_index("value", "|", -1).alias("value"),
+        )
+        return jobs.content_totals(windows.with_event_time(parts, "ts"))
+
+    # The last line has no video, but its time closes the second window.
+    streamed = run_to_end(totals(stream_lines(spark, folder)), "content").collect()
+    assert sorted((r.ctype, naive(r.window_start).second, r.total) for r in streamed) == [
+        ("1", 0, 2),
+        ("1", 5, 4),
+        ("2", 0, 1),
+        ("2", 5, 2),
+    ]
+    table = totals(read_lines(spark, folder)).collect()
+    assert sorted((r.ctype, r.window_start.second, r.total) for r in table) == [
+        ("1", 0, 2),
+        ("1", 5, 4),
+        ("2", 0, 1),
+        ("2", 5, 2),
+    ]
+
+
+def test_keyword_counts_across_restarts(spark, new_folder):
+    words = list("abcdefgh")
+    rows = keyword_rows(spark.range(16), "id", words)
+    timed_rows = rows.withColumn("ts", F.timestamp_seconds("n").cast("timestamp_ntz"))
+    table = jobs.keyword_counts(timed_rows).collect()
+    assert collected_last(table) == {f"({w})": 2 for w in words}
+
+    out, state = new_folder("out"), new_folder("state")
+    for last_batch in (2, 5):
+        stream = keyword_stream(spark, words, rows_per_batch=8, millis_per_batch=2000)
+        counts = jobs.keyword_counts(windows.with_event_time(stream, "ts"))
+        query = file_sink(counts, out, state, every="0 seconds")
+        while not query.recentProgress or query.recentProgress[-1]["batchId"] < last_batch:
+            query.awaitTermination(0.2)
+        query.stop()
+    seen = spark.read.parquet(out).collect()
+    # Every keyword comes once per window: its totals are 1, 2, 3, ... without a gap.
+    for word in words:
+        totals = sorted(r.total for r in seen if r.label == f"({word})")
+        assert totals == list(range(1, len(totals) + 1)) and len(totals) >= 2
+
+
+def collected_last(rows):
+    last = {}
+    for r in rows:
+        last[r.label] = max(r.total, last.get(r.label, 0))
+    return last
+
+
+def test_each_record(spark, new_folder):
+    # Defined here to be sent to the workers by value.
+    class FileWriter:
+        """Keeps the rows of one partition and batch in one file, written when it closes."""
+
+        def __init__(self, folder):
+            self.folder = folder
+
+        def open(self, partition_id, batch_id):
+            self.path, self.rows = f"{self.folder}/{batch_id}-{partition_id}", []
+            return True
+
+        def process(self, row):
+            self.rows.append(row.value)
+
+        def close(self, error):
+            if error is None:
+                with open(self.path, "w") as out:
+                    out.write("\n".join(self.rows))
+
+    folder, out = new_folder("in"), new_folder("out")
+    put(folder, "1.log", ["a", "b"])
+    put(folder, "2.log", ["c"])
+    wait(each_record(stream_lines(spark, folder), FileWriter(out), new_folder("state"), every=None))
+    got = []
+    for name in os.listdir(out):
+        with open(os.path.join(out, name)) as file:
+            got += file.read().split("\n")
+    assert sorted(line for line in got if line) == ["a", "b", "c"]
+
+
 SEQUENCE = [1, 2, 3, 4, 7, 5, 1, 5, 4, 6, 1, 7, 8, 9, 1]
 SEGMENTS = Counter([("s", 5, "2 3 4 7 5 "), ("s", 3, "5 4 6 "), ("s", 3, "7 8 9 ")])
 
