@@ -1,123 +1,150 @@
 """Work that depends on the order of single rows, split so that no key meets one task.
 
-Rows are range-partitioned by key and order. A key of any size is then spread over as
-many partitions as it fills, and a running value is the value within the partition plus
-the sum of that key's earlier partitions. Only keys that cross a partition border need
-such an addition, so that table has at most two rows per partition and can be broadcast
-whatever the size of the data.
+A key's rows are cut into parts that follow one another. A running value is then the value
+within the part plus the sum of the key's earlier parts. There are two ways to cut:
+
+* by ``bucket``, a column that never falls along the order, such as the hour of the time.
+  Parts are added up in a first pass, and one shuffle by key and bucket does the rest.
+* by range partitioning on key and order, where there is no such column or one of its
+  parts has more than ``bucket_rows`` rows. This spreads any key, also one with all its
+  rows at one time, but shuffles twice and stages the rows in between.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql import types as T
+from pyspark.sql.window import Window, WindowSpec
 
 from eventloom.session import stage_table
 
-NO_KEY = "_all"
-
-
-def _placed(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    ranged = df.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id())
-    # Written once: a second evaluation could draw the range borders elsewhere.
-    return stage_table(ranged, "ordered")
-
-
-def _border_sums(placed: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """``(keys, _part, _before, _after)`` for the keys found in more than one partition.
-
-    ``_before`` and ``_after`` are the sums over the key's earlier and later partitions.
-    """
-    sums = placed.groupBy(*keys, "_part").agg(F.sum(value).alias("_sum"))
-    parts = Window.partitionBy(*keys).orderBy("_part")
+# A part of this size is sorted by one task without trouble.
+BUCKET_ROWS = 5_000_000
+
+PART = "_part"
+
+
+def _with_key(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` with columns that name its key, none of them null, so that joins find it."""
+    names = []
+    for i, key in enumerate(keys):
+        kind = df.schema[key].dataType
+        if isinstance(kind, (T.StringType, T.NumericType)):
+            stand_in = F.lit("" if isinstance(kind, T.StringType) else 0).cast(kind)
+            df = df.withColumn(f"_k{i}", F.coalesce(key, stand_in))
+            df = df.withColumn(f"_null{i}", F.col(key).isNull())
+            names += [f"_k{i}", f"_null{i}"]
+        else:
+            df = df.withColumn(f"_k{i}", F.struct(key))
+            names.append(f"_k{i}")
+    if not names:
+        return df.withColumn("_k", F.lit(0)), ["_k"]
+    return df, names
+
+
+def _borders(sums: DataFrame, names: list[str]) -> DataFrame:
+    """``(key, _part, _before, _after)``: sums over the earlier and later parts of the key."""
+    parts = Window.partitionBy(*names).orderBy(PART)
     before = F.sum("_sum").over(parts.rowsBetween(Window.unboundedPreceding, -1))
     after = F.sum("_sum").over(parts.rowsBetween(1, Window.unboundedFollowing))
     return (
-        sums.withColumn("_before", before)
-        .withColumn("_after", after)
+        sums.select(*names, PART, before.alias("_before"), after.alias("_after"))
+        # A key with one part needs no row here.
         .where(F.col("_before").isNotNull() | F.col("_after").isNotNull())
-        .drop("_sum")
     )
 
 
-def _join_borders(placed: DataFrame, borders: DataFrame, keys: list[str]) -> DataFrame:
-    names = [*keys, "_part"]
-    right = borders.select(
-        *[F.col(c).alias(f"_b_{c}") for c in names], "_before", "_after"
-    )
-    same = F.lit(True)
-    for c in names:
-        same = same & F.col(c).eqNullSafe(F.col(f"_b_{c}"))
-    joined = placed.join(F.broadcast(right), same, "left")
-    return joined.drop(*[f"_b_{c}" for c in names])
-
+def _cut(
+    df: DataFrame,
+    names: list[str],
+    order: list[str],
+    value: str,
+    bucket: Column | None,
+    bucket_rows: int,
+) -> tuple[DataFrame, DataFrame]:
+    """``df`` with its part in ``_part``, and the borders of the parts."""
+    if bucket is not None:
+        parted = df.withColumn(PART, bucket)
+        sums = stage_table(
+            parted.groupBy(*names, PART).agg(
+                F.sum(value).alias("_sum"), F.count(F.lit(1)).alias("_rows")
+            ),
+            "parts",
+        )
+        seen = sums.agg(F.max("_rows").alias("rows"), F.bool_or(F.isnull(PART)).alias("odd")).first()
+        if not seen.odd and (seen.rows or 0) <= bucket_rows:
+            return parted, _borders(sums, names)
 
-def _within_part(keys: list[str]) -> Window:
-    return Window.partitionBy(*keys, "_part")
+    ranged = df.repartitionByRange(*names, *order).withColumn(PART, F.spark_partition_id())
+    # Written once: a second evaluation could draw the range borders elsewhere.
+    parted = stage_table(ranged, "ordered")
+    sums = parted.groupBy(*names, PART).agg(F.sum(value).alias("_sum"))
+    # Only keys that cross a partition border are left: at most two rows per partition.
+    return parted, F.broadcast(_borders(sums, names))
 
 
-def _keyed(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
-    if keys:
-        return df, keys
-    return df.withColumn(NO_KEY, F.lit(0)), [NO_KEY]
+def _to_here(names: list[str], order: list[str]) -> WindowSpec:
+    return (
+        Window.partitionBy(*names, PART)
+        .orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
 
 
 def running_total(
-    df: DataFrame, keys: list[str], order: list[str], value: str, out: str = "total"
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    value: str,
+    out: str = "total",
+    bucket: Column | None = None,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Add the sum of ``value`` over this and all earlier rows of the same key.
 
     One output row per input row. ``order`` must name a unique order within a key; with
     no ``keys`` the whole table is one sequence. Tables only; select the columns that
-    are wanted before, since all of them are staged.
+    are wanted before, since all of them are shuffled.
     """
-    df, keys = _keyed(df, keys)
-    counted = df.withColumn("_value", F.coalesce(value, F.lit(0)))
-    placed = _placed(counted, keys, order)
-    borders = _border_sums(placed, keys, "_value")
-    to_here = (
-        _within_part(keys)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    local = placed.withColumn("_local", F.sum("_value").over(to_here))
-    joined = _join_borders(local, borders, keys)
+    keyed, names = _with_key(df, keys)
+    counted = keyed.withColumn("_value", F.coalesce(value, F.lit(0)))
+    parted, borders = _cut(counted, names, order, "_value", bucket, bucket_rows)
+    local = parted.withColumn("_local", F.sum("_value").over(_to_here(names, order)))
     total = F.col("_local") + F.coalesce("_before", F.lit(0))
-    return joined.withColumn(out, total).drop(
-        "_value", "_local", "_part", "_before", "_after", NO_KEY
-    )
+    return local.join(borders, [*names, PART], "left").select(*df.columns, total.alias(out))
 
 
 def number_segments(
-    df: DataFrame, keys: list[str], order: list[str], is_delimiter: Column
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    is_delimiter: Column,
+    bucket: Column | None = None,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Add to each row the segment it is in, and whether that segment has been closed.
 
     New columns: ``segment`` (number of delimiters before the row), ``is_mark`` (the row
-    is a delimiter), ``closed`` and the partition ``_part`` the row was placed in.
+    is a delimiter), ``closed``, and what places the row: its key columns and ``_part``.
     """
-    mark = F.coalesce(is_delimiter, F.lit(False)).cast("bigint")
-    placed = _placed(df.withColumn("_mark", mark), keys, order)
-    borders = _border_sums(placed, keys, "_mark")
-    to_here = (
-        _within_part(keys)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    counted = placed.withColumn("_seen", F.sum("_mark").over(to_here)).withColumn(
-        "_in_part", F.sum("_mark").over(_within_part(keys))
+    keyed, names = _with_key(df, keys)
+    marked = keyed.withColumn("_mark", F.coalesce(is_delimiter, F.lit(False)).cast("bigint"))
+    parted, borders = _cut(marked, names, order, "_mark", bucket, bucket_rows)
+    counted = parted.withColumn("_seen", F.sum("_mark").over(_to_here(names, order))).withColumn(
+        "_in_part", F.sum("_mark").over(Window.partitionBy(*names, PART))
     )
-    joined = _join_borders(counted, borders, keys)
+    is_mark = F.col("_mark") == 1
     ends_here = F.col("_seen") < F.col("_in_part")
     ends_later = F.coalesce("_after", F.lit(0)) > 0
-    return (
-        joined.withColumn(
-            "segment", F.col("_seen") - F.col("_mark") + F.coalesce("_before", F.lit(0))
-        )
-        .withColumn("is_mark", F.col("_mark") == 1)
-        .withColumn("closed", F.col("is_mark") | ends_here | ends_later)
-        .drop("_mark", "_seen", "_in_part", "_before", "_after")
+    segment = F.col("_seen") - F.col("_mark") + F.coalesce("_before", F.lit(0))
+    return counted.join(borders, [*names, PART], "left").select(
+        *df.columns,
+        *names,
+        PART,
+        segment.alias("segment"),
+        is_mark.alias("is_mark"),
+        (is_mark | ends_here | ends_later).alias("closed"),
     )
 
 
@@ -127,23 +154,27 @@ def collect_segments(
     """``(keys, segment, n, items)`` for the closed, non-empty segments.
 
     Open tails and delimiters are left out before anything is collected. A segment is
-    first put together per partition, then from these pieces.
+    first put together per part, then from these pieces.
     """
     text = F.coalesce(F.col(value).cast("string"), F.lit("null")).alias("_text")
     members = numbered.where(F.col("closed") & ~F.col("is_mark"))
     in_order = F.array_sort(F.collect_list(F.struct(*order, text)))
+    # By the columns the rows already are partitioned by; the key itself comes along.
+    names = [c for c in numbered.columns if c.startswith(("_k", "_null"))]
+    key = [F.any_value(c).alias(c) for c in keys]
     pieces = (
-        members.groupBy(*keys, "_part", "segment")
-        .agg(in_order.alias("_rows"))
+        members.groupBy(*names, PART, "segment")
+        .agg(in_order.alias("_rows"), *key)
         .select(
+            *names,
             *keys,
-            "_part",
+            PART,
             "segment",
             F.size("_rows").alias("_n"),
             F.concat(F.array_join("_rows._text", " "), F.lit(" ")).alias("_piece"),
         )
     )
-    by_part = F.array_sort(F.collect_list(F.struct("_part", "_piece")))
+    by_part = F.array_sort(F.collect_list(F.struct(PART, "_piece")))
     return (
         pieces.groupBy(*keys, "segment")
         .agg(F.sum("_n").cast("int").alias("n"), by_part.alias("_pieces"))
@@ -152,16 +183,31 @@ def collect_segments(
 
 
 def delimiter_segments(
-    df: DataFrame, keys: list[str], order: list[str], value: str, is_delimiter: Column
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    value: str,
+    is_delimiter: Column,
+    bucket: Column | None = None,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """The rows between delimiters, as ``(keys, segment, n, items)``.
 
     ``items`` is every value followed by a blank. A segment is emitted when its closing
     delimiter is there and it is not empty; delimiters themselves are not part of it.
     """
-    df, keys = _keyed(df, keys)
-    marked = df.withColumn("_delim", is_delimiter).select(
-        *dict.fromkeys([*keys, *order, value, "_delim"])
+    marked = df.withColumn("_delim", is_delimiter)
+    if bucket is not None:
+        marked = marked.withColumn("_bucket", bucket)
+    marked = marked.select(
+        *dict.fromkeys([*keys, *order, value, "_delim"]), *(["_bucket"] if bucket is not None else [])
+    )
+    numbered = number_segments(
+        marked,
+        keys,
+        order,
+        F.col("_delim"),
+        bucket=F.col("_bucket") if bucket is not None else None,
+        bucket_rows=bucket_rows,
     )
-    numbered = number_segments(marked, keys, order, F.col("_delim"))
-    return collect_segments(numbered, keys, order, value).drop(NO_KEY)
+    return collect_segments(numbered, keys, order, value)

@@ -141,7 +141,9 @@ def running_reduce(spark, folder):
     events = table(spark, folder, "events").select(
         "event_id", "ts", "event_type", F.lit(1).alias("n")
     )
-    totals = ordered.running_total(events, ["event_type"], ["ts", "event_id"], "n")
+    totals = ordered.running_total(
+        events, ["event_type"], ["ts", "event_id"], "n", bucket=F.to_date("ts")
+    )
     return totals.select("event_id", "event_type", "total")
 
 
@@ -259,6 +261,7 @@ def delimiter_segments(spark, folder):
         ["ts", "event_id"],
         "event_id",
         F.col("event_type") == "error",
+        bucket=F.to_date("ts"),
     )
 
 
