@@ -32,14 +32,14 @@ def _with_key(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
         kind = df.schema[key].dataType
         if isinstance(kind, (T.StringType, T.NumericType)):
             stand_in = F.lit("" if isinstance(kind, T.StringType) else 0).cast(kind)
-            df = df.withColumn(f"_k{i}", F.coalesce(key, stand_in))
-            df = df.withColumn(f"_null{i}", F.col(key).isNull())
-            names += [f"_k{i}", f"_null{i}"]
+            df = df.withColumn(f"_key{i}", F.coalesce(key, stand_in))
+            df = df.withColumn(f"_keynull{i}", F.col(key).isNull())
+            names += [f"_key{i}", f"_keynull{i}"]
         else:
-            df = df.withColumn(f"_k{i}", F.struct(key))
-            names.append(f"_k{i}")
+            df = df.withColumn(f"_key{i}", F.struct(key))
+            names.append(f"_key{i}")
     if not names:
-        return df.withColumn("_k", F.lit(0)), ["_k"]
+        return df.withColumn("_key", F.lit(0)), ["_key"]
     return df, names
 
 
@@ -160,7 +160,7 @@ def collect_segments(
     members = numbered.where(F.col("closed") & ~F.col("is_mark"))
     in_order = F.array_sort(F.collect_list(F.struct(*order, text)))
     # By the columns the rows already are partitioned by; the key itself comes along.
-    names = [c for c in numbered.columns if c.startswith(("_k", "_null"))]
+    names = [c for c in numbered.columns if c.startswith("_key")]
     key = [F.any_value(c).alias(c) for c in keys]
     pieces = (
         members.groupBy(*names, PART, "segment")

@@ -18,15 +18,19 @@ def with_event_time(
 
     ``ingest_time`` takes the arrival time instead. A text that is no time gives null,
     see :func:`without_time`. On a table the time stays zone-less and there is no
-    watermark. On a stream, which needs a time with zone, rows that come later than
-    ``delay`` are dropped.
+    watermark. A stream needs a time with zone: one without is taken as UTC, whatever
+    the session's zone, and rows that come later than ``delay`` are dropped.
     """
     out = out or ts
+    time = F.col(ts)
     if ingest_time:
-        timed = df.withColumn(out, F.current_timestamp())
-    else:
-        kind = "timestamp" if df.isStreaming else "timestamp_ntz"
-        timed = df.withColumn(out, F.col(ts).try_cast(kind))
+        time = F.current_timestamp()
+    elif not df.isStreaming:
+        time = time.try_cast("timestamp_ntz")
+    elif df.schema[ts].dataType.typeName() != "timestamp":
+        in_utc = F.concat(time.cast("string"), F.lit("Z")).try_cast("timestamp")
+        time = F.coalesce(in_utc, time.try_cast("timestamp"))
+    timed = df.withColumn(out, time)
     return timed.withWatermark(out, delay) if df.isStreaming else timed
 
 
