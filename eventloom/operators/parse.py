@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +15,13 @@ def _struct(schema: T.StructType | str) -> T.StructType:
     return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
+def _field(text: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.IntegralType):
+        # A cast would forgive blanks around a whole number.
+        text = F.when(~text.contains(" "), text)
+    return text.try_cast(kind)
+
+
 def parse_delimited(
     df: DataFrame, schema: T.StructType | str, sep: str = ",", value: str = "value"
 ) -> DataFrame:
@@ -28,7 +35,7 @@ def parse_delimited(
     cut = df.select(value, F.explode(F.array(F.split(F.col(value), re.escape(sep)))).alias("_p"))
     typed = cut.select(
         F.col(value).alias("_line"),
-        *[F.get("_p", F.lit(i)).try_cast(f.dataType).alias(f.name) for i, f in enumerate(fields)],
+        *[_field(F.get("_p", F.lit(i)), f.dataType).alias(f.name) for i, f in enumerate(fields)],
     )
     complete = F.lit(True)
     for field in fields:
@@ -47,21 +54,38 @@ def parse_json(
 ) -> DataFrame:
     """Add the parsed line as struct ``into`` and a flag ``bad``.
 
-    A line that is no JSON object, or that has a field of another type than ``schema``,
-    is bad and keeps its text; with ``strict`` it raises instead.
+    A line that is not just one JSON object, or that has a field of another type than
+    ``schema``, is bad and keeps its text; with ``strict`` it raises instead.
     """
-    full = T.StructType([*_struct(schema).fields, T.StructField(CORRUPT, T.StringType())])
-    parsed = F.from_json(F.col(value), full, {"columnNameOfCorruptRecord": CORRUPT})
+    # The parser stops at the end of the first value. Put into a list that something
+    # follows, a line with more than one object is noticed.
+    text = F.concat(
+        F.lit('{"line":['), F.col(value), F.lit('],"size":'), F.length(value), F.lit("}")
+    )
+    full = T.StructType(
+        [
+            T.StructField("line", T.ArrayType(_struct(schema))),
+            T.StructField("size", T.LongType()),
+            T.StructField(CORRUPT, T.StringType()),
+        ]
+    )
+    parsed = F.from_json(text, full, {"columnNameOfCorruptRecord": CORRUPT})
     # As the output of a generator the struct is computed once; as a plain column it
     # would be parsed again in every filter that is pushed below this step.
-    out = df.select("*", F.explode(F.array(parsed)).alias(into))
-    # A blank line gives a null struct and no corrupt mark.
-    bad = F.col(into).isNull() | F.col(f"{into}.{CORRUPT}").isNotNull()
+    out = df.select("*", F.explode(F.array(parsed)).alias("_json"))
+    doc = F.get("_json.line", F.lit(0))
+    good = (
+        F.col(f"_json.{CORRUPT}").isNull()
+        & (F.size("_json.line") == 1)
+        & doc.isNotNull()
+        & (F.col("_json.size") == F.length(value))
+    )
+    bad = ~F.coalesce(good, F.lit(False))
     if strict:
         bad = F.when(~bad, F.lit(False)).otherwise(
             F.raise_error(F.concat(F.lit("bad JSON line: "), F.coalesce(value, F.lit("null")))).cast("boolean")
         )
-    return out.withColumn("bad", bad)
+    return out.withColumn(into, doc).withColumn("bad", bad).drop("_json")
 
 
 def good_rows(parsed: DataFrame) -> DataFrame:
