@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +21,6 @@ DEFAULTS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-_local_root: tempfile.TemporaryDirectory | None = None
-
 
 def build_session(
     app: str = "eventloom",
@@ -44,15 +41,9 @@ def build_session(
 
 
 def _shared_root(spark: SparkSession) -> str:
-    global _local_root
+    """The folder of ``spark.checkpoint.dir``; where unset, one below the warehouse, which is shared too."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    if _local_root is None:
-        _local_root = tempfile.TemporaryDirectory(prefix="eventloom-", ignore_cleanup_errors=True)
-    return _local_root.name
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
