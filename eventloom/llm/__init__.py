@@ -1,0 +1,11 @@
+"""Operators for training-data pipelines.
+
+Functions that run in Python workers travel with the job, so that executors need no copy of
+this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import decision_list, url_model
-from eventloom.llm.common import table
+from eventloom.llm import decision_list, language, secrets, toxicity, url_model
+from eventloom.llm.common import id_remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,24 @@ URL_RULES = [
 ]
 
 
+def op3_language_id(spark, folder):
+    documents = table(spark, folder, "documents")
+    held_out = id_remainder("doc_id", 3) == 1
+    model = language.fit(documents.where(~held_out))
+    return language.predict(documents, model, {"doc_id": F.col("doc_id"), "held_out": held_out})
+
+
+def op4_secret_scans(spark, folder):
+    return secrets.scan_table(table(spark, folder, "documents"), {"doc_id": F.col("doc_id")})
+
+
+def op7_toxicity(spark, folder):
+    documents = table(spark, folder, "documents")
+    held_out = id_remainder("doc_id", 5) == 0
+    model = toxicity.fit(documents, table(spark, folder, "labels").where(~held_out))
+    return toxicity.score(documents, model, {"doc_id": F.col("doc_id"), "held_out": held_out})
+
+
 def op8_quality_rules(spark, folder):
     judged, _ = decision_list.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return judged.select(
@@ -34,6 +52,9 @@ def op9_url_filters(spark, folder):
 
 
 QUERIES: dict[str, Query] = {
+    "op3_language_id": op3_language_id,
+    "op4_secret_scans": op4_secret_scans,
+    "op7_toxicity": op7_toxicity,
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filters": op9_url_filters,
 }
