@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import decision_list, language, secrets, toxicity, url_model
+from eventloom.llm import decision_list, language, secrets, token_files, toxicity, url_model, warc
 from eventloom.llm.common import id_remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +34,14 @@ def op4_secret_scans(spark, folder):
     return secrets.scan_table(table(spark, folder, "documents"), {"doc_id": F.col("doc_id")})
 
 
+def op5_token_files(spark, folder):
+    return token_files.round_trip(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op6_warc(spark, folder):
+    return warc.round_trip(table(spark, folder, "pages"))
+
+
 def op7_toxicity(spark, folder):
     documents = table(spark, folder, "documents")
     held_out = id_remainder("doc_id", 5) == 0
@@ -54,6 +63,8 @@ def op9_url_filters(spark, folder):
 QUERIES: dict[str, Query] = {
     "op3_language_id": op3_language_id,
     "op4_secret_scans": op4_secret_scans,
+    "op5_token_files": op5_token_files,
+    "op6_warc": op6_warc,
     "op7_toxicity": op7_toxicity,
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filters": op9_url_filters,
