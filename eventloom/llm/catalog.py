@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import decision_list, language, secrets, token_files, toxicity, url_model, warc
+from eventloom.llm import byte_bpe, decision_list, language, secrets, token_files, toxicity, url_model, warc
 from eventloom.llm.common import id_remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,12 @@ def op9_url_filters(spark, folder):
     return url_model.judge_urls(table(spark, folder, "pages"), URL_RULES)
 
 
+def op10_byte_bpe(spark, folder):
+    documents = table(spark, folder, "documents")
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.round_trip(documents, path, public_tokenizers.PATTERN, {"doc_id": F.col("doc_id")})
+
+
 QUERIES: dict[str, Query] = {
     "op3_language_id": op3_language_id,
     "op4_secret_scans": op4_secret_scans,
@@ -68,6 +74,7 @@ QUERIES: dict[str, Query] = {
     "op7_toxicity": op7_toxicity,
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filters": op9_url_filters,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 
 # What these queries return has no SQL form: each is tested against a plain computation.
