@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import byte_bpe, decision_list, language, secrets, token_files, toxicity, url_model, warc
+from eventloom.llm import byte_bpe, decision_list, decontaminate, language, secrets, token_files, toxicity, url_model, warc
 from eventloom.llm.common import id_remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,12 @@ URL_RULES = [
 ]
 
 
+def op2_decontamination(spark, folder):
+    documents, benchmark = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    found = decontaminate.find_items(documents, benchmark, {"doc_id": F.col("doc_id")})
+    return found.withColumn("contaminated", F.size("items") > 0)
+
+
 def op3_language_id(spark, folder):
     documents = table(spark, folder, "documents")
     held_out = id_remainder("doc_id", 3) == 1
@@ -67,6 +73,7 @@ def op10_byte_bpe(spark, folder):
 
 
 QUERIES: dict[str, Query] = {
+    "op2_decontamination": op2_decontamination,
     "op3_language_id": op3_language_id,
     "op4_secret_scans": op4_secret_scans,
     "op5_token_files": op5_token_files,
