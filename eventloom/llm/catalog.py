@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import byte_bpe, decision_list, decontaminate, language, secrets, token_files, toxicity, url_model, warc
+from eventloom.llm import byte_bpe, chosen_path, decision_list, decontaminate, language, secrets, token_files, toxicity, url_model, warc
 from eventloom.llm.common import id_remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,10 @@ URL_RULES = [
 ]
 
 
+def op1_ngram_join(spark, folder):
+    return chosen_path.join(table(spark, folder, "documents"))
+
+
 def op2_decontamination(spark, folder):
     documents, benchmark = table(spark, folder, "documents"), table(spark, folder, "benchmark")
     found = decontaminate.find_items(documents, benchmark, {"doc_id": F.col("doc_id")})
@@ -73,6 +77,7 @@ def op10_byte_bpe(spark, folder):
 
 
 QUERIES: dict[str, Query] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_decontamination": op2_decontamination,
     "op3_language_id": op3_language_id,
     "op4_secret_scans": op4_secret_scans,
