@@ -345,7 +345,8 @@ def links(documents: DataFrame, sets: DataFrame, s: JoinSettings, id_col: str, t
             if found is not None and found.num_rows:
                 yield found
 
-    found = _by_bucket(possible.join(grams, "doc_id")).mapInArrow(verify, "doc_id bigint, root bigint, links bigint")
+    whole = possible.join(grams, "doc_id").select(*possible.columns, "grams")
+    found = _by_bucket(whole).mapInArrow(verify, "doc_id bigint, root bigint, links bigint")
     return stage_table(found, "links")
 
 
