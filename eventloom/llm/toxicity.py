@@ -2,7 +2,8 @@
 
 The JVM splits and hashes words; n-grams are made from the hashes with array arithmetic. The
 model is trained by workers on disjoint parts of the labelled sample; after each pass their
-per-coordinate sums are averaged by Spark. L1 leaves few weights, which is what is broadcast.
+per-coordinate sums, whose size the model bounds, are averaged. L1 leaves few weights, which is
+what is broadcast.
 """
 
 from __future__ import annotations
@@ -123,18 +124,20 @@ def fit(documents: DataFrame, labels: DataFrame, s: Settings = Settings(), id_co
             own_z, own_n = (x.astype(np.float64) for x in state.value)
             before = own_n.copy()
             _pass(batches, own_z, own_n, s)
-            moved = np.flatnonzero(own_n != before)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(moved), pa.array(own_z[moved] - state.value[0][moved]), pa.array(own_n[moved] - before[moved])],
-                names=["i", "dz", "dn"],
+            yield pa.RecordBatch.from_pydict(
+                {"dz": [(own_z - state.value[0]).astype(np.float32).tobytes()], "dn": [(own_n - before).astype(np.float32).tobytes()]}
             )
 
         # Each worker starts from the same sums; what those that met a coordinate add is averaged.
-        moves = rows.mapInArrow(train, "i bigint, dz double, dn double").groupBy("i").agg(F.avg("dz").alias("dz"), F.avg("dn").alias("dn"))
-        moved = moves.toArrow()  # at most 2 ** bits + 1 rows
-        i = moved.column("i").to_numpy()
-        z[i] += moved.column("dz").to_numpy()
-        n[i] += moved.column("dn").to_numpy()
+        moves = rows.mapInArrow(train, "dz binary, dn binary").collect()  # workers * 2 ** bits * 8 bytes
+        added_z, added_n, met = np.zeros(size), np.zeros(size), np.zeros(size, np.int32)
+        for move in moves:
+            dn = np.frombuffer(move["dn"], np.float32)
+            added_z += np.frombuffer(move["dz"], np.float32)
+            added_n += dn
+            met += dn > 0
+        z += added_z / np.maximum(met, 1)
+        n += added_n / np.maximum(met, 1)
     w = _weights(z, n, s)
     index = np.flatnonzero(w[:-1])
     return ToxicityModel(index, w[index].astype(np.float32), float(w[-1]), s.bits)
