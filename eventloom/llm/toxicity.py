@@ -26,11 +26,11 @@ class Settings:
 
     max_rows: int = 60_000
     bits: int = 20
-    alpha: float = 0.2
+    alpha: float = 1.0
     beta: float = 1.0
-    l1: float = 1.0
-    l2: float = 0.5
-    passes: int = 3
+    l1: float = 1.5
+    l2: float = 0.0
+    passes: int = 4
     workers: int = 6
 
 
