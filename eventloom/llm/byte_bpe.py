@@ -22,9 +22,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import let, whole_text
-from eventloom.llm.token_files import WHITE
+from eventloom.llm.common import extended, let, whole_text
 
+# Fixed value: the characters of Unicode's White_Space property.
+WHITE = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 P1, P2 = 2_147_483_647, 2_147_483_629
 C1, C2 = 1_597_334_677, 1_181_783_497
 PLACES = 1024  # a word's places fit below it; words of more bytes are merged by a heap
@@ -256,8 +257,8 @@ def encode(
 def finish(encoded: DataFrame, ranks: dict[bytes, int], with_ids: bool = False) -> DataFrame:
     """``n_tokens``, ``ids_sha256`` and ``decoded_sha256``: long words merged, ids decoded by joining pieces."""
     kept = [c for c in encoded.columns if c != "_ids"]
-    fields = [f"`{n}` {t}" for n, t in encoded.dtypes if n != "_ids"]
-    fields += ["n_tokens bigint", "ids_sha256 string", "decoded_sha256 string"] + ["ids array<int>"] * with_ids
+    new = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    schema = extended(encoded, new, ("_ids",))
     shared = encoded.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,7 +284,7 @@ def finish(encoded: DataFrame, ranks: dict[bytes, int], with_ids: bool = False)
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return encoded.select(*kept, "_ids").mapInArrow(run, ", ".join(fields))
+    return encoded.select(*kept, "_ids").mapInArrow(run, schema)
 
 
 def round_trip(documents: DataFrame, ranks_path: str, pattern: str, keep: dict[str, Column], with_ids: bool = False) -> DataFrame:

@@ -317,7 +317,6 @@ def links(documents: DataFrame, sets: DataFrame, s: JoinSettings, id_col: str, t
     ``sets``: one row a word sequence (doc_id, key, n, sig).
     """
     rows = buckets(sets, s)
-    schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes)
 
     def keep_possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, len(BUCKET)):
@@ -325,7 +324,7 @@ def links(documents: DataFrame, sets: DataFrame, s: JoinSettings, id_col: str, t
             if len(left):
                 yield from group.take(np.union1d(left, right)).combine_chunks().to_batches()
 
-    possible = stage_table(_by_bucket(rows).mapInArrow(keep_possible, schema), "possible")
+    possible = stage_table(_by_bucket(rows).mapInArrow(keep_possible, rows.schema), "possible")
 
     # The n-grams of these sets only. Copies of a text share the key but not the id.
     wanted = possible.select("doc_id").distinct().join(sets.select("doc_id", "key"), "doc_id")

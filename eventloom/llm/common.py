@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Blank, tab, line feed, vertical tab, form feed, carriage return.
 SPACE = r"\x20\x09-\x0D"
@@ -42,3 +43,13 @@ def fresh_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def extended(df: DataFrame, new: str, without: tuple[str, ...] = ()) -> StructType:
+    """The columns of ``df`` but ``without``, and those of the definition ``new``."""
+    return StructType([f for f in df.schema.fields if f.name not in without] + StructType.fromDDL(new).fields)
+
+
+def as_row(df: DataFrame) -> Column:
+    """All columns in one, so that names an operator adds can't clash with them."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import SPACE, fresh_name, let, space_words, whole_text
+from eventloom.llm.common import SPACE, as_row, fresh_name, let, space_words, whole_text
 from eventloom.session import stage_table
 
 SYMBOLS = r"[#*$%&|<>]"
@@ -275,5 +275,15 @@ def judge(
     )
     labelled = stats.join(marks, stats[id_col] == marks["_id"]).withColumn("bad", 1 - F.col("_label"))
     rules = learn(labelled, key_col=id_col, **learning)
-    judged = stats.withColumn("base_failed", base_failed()).withColumn("rule", verdict(rules))
-    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0)), rules
+    return judged(stats, rules), rules
+
+
+def judged(stats: DataFrame, rules: list[Rule]) -> DataFrame:
+    out = stats.withColumn("base_failed", base_failed()).withColumn("rule", verdict(rules))
+    return out.withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))
+
+
+def kept_rows(documents: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFrame:
+    """The rows that pass, with their columns. Statistics are computed in place: no join, no shuffle."""
+    rows = documents.select(as_row(documents).alias("_row"), F.col(text_col).alias("_own_text"))
+    return judged(text_statistics(rows, "_row", "_own_text"), rules).where("kept").select("_row.*")

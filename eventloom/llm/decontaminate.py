@@ -203,7 +203,6 @@ def find_items(
         F.array().cast("array<bigint>").alias("items"),
         F.array().cast("array<int>").alias("edits"),
     )
-    schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes)
 
     def searched(rows: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
         shared = context.broadcast(items)
@@ -228,7 +227,7 @@ def find_items(
                     names=batch.schema.names,
                 )
 
-        return rows.mapInArrow(run, schema)
+        return rows.mapInArrow(run, rows.schema)
 
     for items in blocks(benchmark, budget, item_id_col, item_text_col):
         rows = searched(rows, items)

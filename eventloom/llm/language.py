@@ -14,6 +14,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventloom.llm.common import extended
+
 UNDETERMINED = "und"
 
 
@@ -110,7 +112,7 @@ def predict(documents: DataFrame, model: LanguageModel, keep: dict[str, Column],
     language that comes first by name. Long texts are compressed whole, in chunks.
     """
     kept = documents.select(*[c.alias(n) for n, c in keep.items()], letters_only(F.col(text_col)).alias("_text"))
-    fields = ", ".join(f"`{n}` {t}" for n, t in kept.dtypes if n != "_text")
+    schema = extended(kept, "lang_pred string, score double, reliable boolean", ("_text",))
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,4 +129,4 @@ def predict(documents: DataFrame, model: LanguageModel, keep: dict[str, Column],
                 names=[*batch.schema.names[:-1], "lang_pred", "score", "reliable"],
             )
 
-    return kept.mapInArrow(run, f"{fields}, lang_pred string, score double, reliable boolean")
+    return kept.mapInArrow(run, schema)

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventloom.llm.common import extended
+
 # Fixed values of the scan contract: kinds in order, patterns, shortest lengths.
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(
@@ -164,9 +166,8 @@ def scan_table(
     in the order of ``KINDS``; overlapping spans of different kinds all stay.
     """
     kept = documents.select(*[c.alias(n) for n, c in keep.items()], F.col(text_col).alias("_text"))
-    fields = [f"`{n}` {t}" for n, t in kept.dtypes if n != "_text"]
-    fields += ["n_assign bigint", "n_access bigint", "n_hex bigint", "n_random bigint", "base_sha256 string", "spans string"]
-    fields += ["redacted string"] * clean
+    new = "n_assign bigint, n_access bigint, n_hex bigint, n_random bigint, base_sha256 string, spans string"
+    schema = extended(kept, new + ", redacted string" * clean, ("_text",))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,4 +187,4 @@ def scan_table(
                 names.append("redacted")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return kept.mapInArrow(run, ", ".join(fields))
+    return kept.mapInArrow(run, schema)

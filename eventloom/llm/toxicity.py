@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import whole_text
+from eventloom.llm.common import extended, whole_text
 from eventloom.session import stage_table
 
 
@@ -149,7 +149,7 @@ def score(documents: DataFrame, model: ToxicityModel, keep: dict[str, Column], t
     Null and empty texts get the score of no feature at all (the bias).
     """
     kept = documents.select(*[c.alias(n) for n, c in keep.items()], word_codes(whole_text(text_col)).alias("_codes"))
-    fields = ", ".join(f"`{n}` {t}" for n, t in kept.dtypes if n != "_codes")
+    schema = extended(kept, "score double, predicted int", ("_codes",))
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,4 +176,4 @@ def score(documents: DataFrame, model: ToxicityModel, keep: dict[str, Column], t
                 names=[*batch.schema.names[:-1], "score", "predicted"],
             )
 
-    return kept.mapInArrow(run, f"{fields}, score double, predicted int")
+    return kept.mapInArrow(run, schema)
