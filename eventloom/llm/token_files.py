@@ -11,9 +11,13 @@ bits for every 256th number. No table of 64-bit offsets is kept.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
+import sys
+import types
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +33,9 @@ from eventloom.session import scratch_path, stage_table
 
 MAGIC = b"TOKSHRD1"
 SAMPLE = 256
-# The characters of Unicode's White_Space property.
-WHITE = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+# The characters of Unicode's White_Space property, in ASCII and beyond.
+ASCII_WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+WHITE_BEYOND_ASCII = r"[\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
 
 class EliasFano:
@@ -137,53 +142,77 @@ class ShardReader:
         return names, bounds, np.frombuffer(raw, f"<u{self.width}")
 
 
+def _worker_memory() -> dict:
+    """A dictionary that lives as long as the Python worker, over its tasks."""
+    return vars(sys.modules.setdefault("_token_pieces", types.ModuleType("_token_pieces")))
+
+
 class PieceEncoder:
-    """Ids of pieces of text, each distinct piece encoded by the library once while it is remembered."""
+    """Ids of texts; each distinct piece is encoded by the library once while it is remembered.
+
+    A text is cut before each white space that follows another character: no token of a
+    byte-level pre-tokeniser spans such a place, and what it does on either side does not
+    depend on the other. Texts with white space beyond ASCII are a piece of their own.
+    """
 
-    def __init__(self, tokenizer_json: str, remember: int = 400_000):
+    def __init__(self, tokenizer_json: str, remember: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
+        own = hashlib.md5(tokenizer_json.encode()).hexdigest()
+        self.known: dict[str, bytes] = _worker_memory().setdefault(own, {})
         self.remember = remember
 
-    def encode(self, pieces: pa.ListArray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """(number of ids, ids) of rows of pieces, with ``end_id`` after each row."""
-        offsets = pieces.offsets.to_numpy()
-        flat = pieces.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
-        offsets = offsets - offsets[0]
+    def cut(self, texts: pa.StringArray) -> tuple[pa.LargeStringArray, np.ndarray]:
+        """Pieces, which share the texts' memory, and each text's number of pieces."""
+        offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+        start = offsets[0]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[start : offsets[-1]]
+        offsets = offsets - start
+        white = ASCII_WHITE[data]
+        begins = np.zeros(len(data) + 1, bool)
+        begins[1:-1] = white[1:] & ~white[:-1]
+        for k in np.flatnonzero(pc.match_substring_regex(texts, WHITE_BEYOND_ASCII).to_numpy(zero_copy_only=False)):
+            begins[offsets[k] : offsets[k + 1]] = False
+        filled = offsets[1:] > offsets[:-1]
+        begins[offsets[:-1][filled]] = True
+        places = np.flatnonzero(begins[:-1])
+        counts = np.searchsorted(places, offsets[1:]) - np.searchsorted(places, offsets[:-1])
+        bounds = np.append(places, len(data)).astype(np.int64)
+        pieces = pa.LargeStringArray.from_buffers(len(places), pa.py_buffer(bounds), pa.py_buffer(data))
+        return pieces, counts
+
+    def encode(self, texts: pa.StringArray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each text, all ids) with ``end_id`` after each text."""
+        pieces, per_text = self.cut(texts)
+        flat = pieces.dictionary_encode()
         words = flat.dictionary.to_pylist()
         if len(self.known) > self.remember:
             self.known.clear()
-        new = [w for w in words if w not in self.known]
+        known = self.known
+        new = [w for w in words if w not in known]
         for i in range(0, len(new), 20_000):
             part = new[i : i + 20_000]
             for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, np.uint32).tobytes()
-        coded = [self.known[w] for w in words]
-        sizes = np.fromiter((len(x) // 4 for x in coded), np.int64, len(coded))
+                known[w] = array("I", e.ids).tobytes()
+        coded = [known[w] for w in words]
+        sizes = np.fromiter(map(len, coded), np.int32, len(coded)) // 4
         pool = np.frombuffer(b"".join(coded), np.uint32)
         starts = np.cumsum(sizes) - sizes
         which = flat.indices.to_numpy()
         counts = sizes[which]
-        before = np.concatenate([[0], np.cumsum(counts)])
-        lengths = before[offsets[1:]] - before[offsets[:-1]]
-        places = np.arange(before[-1])
-        ids = pool[np.repeat(starts[which] - before[:-1], counts) + places]
-        out = np.full(before[-1] + len(lengths), end_id, np.uint32)
-        out[places + np.repeat(np.arange(len(lengths)), lengths)] = ids
-        return lengths + 1, out
-
-
-def pieces(text):
-    """A text cut before each white space that follows another character.
-
-    No token of a byte-level pre-tokeniser spans such a place, and what it does on either
-    side does not depend on the other, so the ids of the pieces are those of the text.
-    """
-    return F.regexp_extract_all(text, F.lit(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+"), F.lit(0))
+        # The end of a text is a piece of one id of its own.
+        ends = np.cumsum(per_text)
+        counts = np.insert(counts, ends, 1)
+        first = np.insert(starts[which], ends, len(pool))
+        before = np.cumsum(counts) - counts
+        where = np.repeat(first - before, counts)
+        where += np.arange(len(where))
+        ids = np.append(pool, np.uint32(end_id))[where]
+        bounds = np.append(before, len(where))[np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])]
+        return np.diff(bounds), ids
 
 
 def write_shards(
@@ -198,7 +227,7 @@ def write_shards(
     width = 2 if vocabulary < 65_536 and end_id < 65_536 else 4
     shared = documents.sparkSession.sparkContext.broadcast(tokenizer_json)
     rows = documents.select(F.col(id_col).cast("bigint").alias("id"), whole_text(text_col).alias("text"))
-    rows = rows.repartitionByRange("id").sortWithinPartitions("id", "text").select("id", pieces(F.col("text")).alias("pieces"))
+    rows = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
@@ -207,8 +236,8 @@ def write_shards(
         with committed(path) as out:
             writer = ShardWriter(out, width)
             for batch in batches:
-                for i in range(0, batch.num_rows, 500):
-                    part = batch.slice(i, 500)
+                for i in range(0, batch.num_rows, 2000):
+                    part = batch.slice(i, 2000)
                     writer.append(part.column(0).to_pylist(), *encoder.encode(part.column(1), end_id))
             n, tokens = writer.close()
         if n:
