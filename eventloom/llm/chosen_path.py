@@ -38,9 +38,9 @@ class JoinSettings:
 
     n: int = 5
     similarity: float = 0.8
-    recall: float = 0.995
+    recall: float = 0.99
     width: int = 128
-    limit: int = 400
+    limit: int = 2500
     depth: int = 5
     branching: float = 1.25
 
