@@ -25,7 +25,7 @@ class Settings:
     """``max_rows`` bounds the labelled sample; ``bits`` the weights (2 ** bits at most)."""
 
     max_rows: int = 60_000
-    bits: int = 20
+    bits: int = 18
     alpha: float = 1.0
     beta: float = 1.0
     l1: float = 1.5
@@ -110,9 +110,8 @@ def sample_labels(labels: DataFrame, s: Settings, id_col: str = "doc_id", label_
 def fit(documents: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:
     """Train on the documents that ``labels`` marks. No labels: all weights are 0."""
     marks = F.broadcast(sample_labels(labels, s, id_col))  # max_rows rows of two numbers
-    rows = documents.join(marks, documents[id_col] == marks["_id"]).select(
-        "label", word_codes(whole_text(text_col)).alias("codes"), F.xxhash64("_id").alias("h")
-    )
+    texts = documents.select(F.col(id_col).alias("_id"), whole_text(text_col).alias("text"))
+    rows = texts.join(marks, "_id").select("label", word_codes(F.col("text")).alias("codes"), F.xxhash64("_id").alias("h"))
     rows = stage_table(rows.repartition(s.workers, "h").sortWithinPartitions("h").select("label", "codes"), "toxicity-sample")
     size = (1 << s.bits) + 1
     z, n = np.zeros(size), np.zeros(size)
