@@ -46,7 +46,7 @@ ENCODINGS = (
 class Battery:
     """``level``: below it a test calls a run not random. ``rate``: false discoveries.
 
-    ``change_rate``: how often the kind of character (capital, small, digit, sign) changes
+    ``change_rate``: how often the kind of character (capital, small, digit) changes
     from one to the next in ordinary text, the null hypothesis of the p-value.
     """
 
@@ -99,10 +99,14 @@ def serial(run: str, symbols: str) -> float:
 
 
 def ordinary(run: str, change_rate: float) -> float:
-    """P-value under ordinary text: as many changes of the kind of character, or more."""
-    kind = lambda c: 0 if c.isdigit() else 1 if c.islower() else 2 if c.isupper() else 3
-    kinds = [kind(c) for c in run]
-    n, seen = len(run) - 1, sum(x != y for x, y in zip(kinds, kinds[1:]))
+    """P-value under ordinary text: as many changes of the kind of character, or more.
+
+    Signs are left out, as they join the parts of paths and names.
+    """
+    kinds = [0 if c.isdigit() else 1 if c.islower() else 2 for c in run if c.isalnum()]
+    n, seen = len(kinds) - 1, sum(x != y for x, y in zip(kinds, kinds[1:]))
+    if n < 1:
+        return 1.0
     mean, sd = n * change_rate, math.sqrt(n * change_rate * (1 - change_rate))
     return _upper_tail((seen - 0.5 - mean) / sd)
 

@@ -172,7 +172,7 @@ def test_battery():
     runs = ["".join(rng.choice(symbols, 32)) for _ in range(200)]
     found = sum(any(k == "random" for _, k, _ in secrets.scan(f"x {r} y")) for r in runs)
     assert found >= 180
-    words = ["Internationalizationframework2", "get_the_first_item_of_the_list2", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaa1", "https/example/com/some/path/of/7"]
+    words = ["Internationalizationframework2", "get_the_first_item_of_the_list2", "zzzzzzzzzzzzzzzzzzzzzzzzzzzzz1", "https/example/com/some/path/of/7"]
     assert not any(secrets.scan(f"x {w} y") for w in words)
 
 
