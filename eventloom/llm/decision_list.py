@@ -71,17 +71,19 @@ def text_statistics(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
     t, w = F.col(text), F.col(words)
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(f"[^{SPACE}]"))
-    counted = rows.select(
-        id_col,
+    distinct = let(lines, lambda x: F.struct(F.size(x).alias("all"), F.size(F.array_distinct(x)).alias("distinct")))
+    counts = F.struct(
         F.size(w).cast("bigint").alias("n_words"),
         F.length(F.array_join(w, "")).cast("bigint").alias("word_chars"),
         F.regexp_count(t, F.lit(SYMBOLS)).cast("bigint").alias("n_symbols"),
         F.regexp_count(t, F.lit("[!?]")).cast("bigint").alias("n_marks"),
         F.length(F.regexp_replace(t, r"[^\p{Lu}]+", "")).cast("bigint").alias("n_upper"),
-        let(lines, lambda x: F.struct(F.size(x).alias("all"), F.size(F.array_distinct(x)).alias("distinct"))).alias("lines"),
+        distinct.alias("lines"),
         F.size(F.array_distinct(w)).cast("bigint").alias("n_distinct"),
         repeated_window_words(w).alias("n_repeat_words"),
     )
+    # A generator again: what is asked of the counts below must not repeat their computation.
+    counted = rows.select(id_col, F.explode(F.array(counts)).alias("c")).select(id_col, "c.*")
     share = lambda part, whole: F.when(F.col(whole) > 0, F.col(part) / F.col(whole)).otherwise(0.0)
     return counted.select(
         id_col,

@@ -288,17 +288,19 @@ def test_byte_bpe(spark, odd, documents):
     assert rows(spark, "op10_byte_bpe", odd, "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == expected
 
 
-def test_pipeline(spark, odd, documents):
+def test_pipeline(spark, odd, documents, new_folder):
     """Stage by stage, each against plain Python on what the one before it kept."""
     docs = spark.read.parquet(f"{odd}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES:
         before = docs.toArrow().to_pylist()
-        out = stage(spark, docs, odd)
+        folder = new_folder("stage") + "/rows"
+        stage(spark, docs, odd).write.parquet(folder)
+        out = spark.read.parquet(folder)
         after = out.toArrow().to_pylist()
         kept = Counter((r["doc_id"], r.get("text")) for r in after)
         if stage is not corpus_pipeline.token_ids:
             assert out.columns == docs.columns
-            docs = spark.createDataFrame(out.toArrow())
+            docs = out
         if stage is corpus_pipeline.quality:
             for r in before:
                 c = counts(r["text"])
