@@ -287,6 +287,8 @@ def finish(encoded: DataFrame, ranks: dict[bytes, int], with_ids: bool = False)
     return encoded.select(*kept, "_ids").mapInArrow(run, schema)
 
 
-def round_trip(documents: DataFrame, ranks_path: str, pattern: str, keep: dict[str, Column], with_ids: bool = False) -> DataFrame:
+def round_trip(
+    documents: DataFrame, ranks_path: str, pattern: str, keep: dict[str, Column], with_ids: bool = False, frequent: int = 1 << 17
+) -> DataFrame:
     ranks = read_ranks(ranks_path)
-    return finish(encode(documents, ranks, pattern, keep), ranks, with_ids)
+    return finish(encode(documents, ranks, pattern, keep, frequent=frequent), ranks, with_ids)
