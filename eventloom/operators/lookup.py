@@ -13,18 +13,22 @@ from pyspark.sql import functions as F
 def enrich(facts: DataFrame, lookup: DataFrame, key: str, values: list[str]) -> DataFrame:
     """Every fact with the looked-up ``values``, null where the key is unknown.
 
-    ``lookup`` has one row per key. A streaming ``facts`` is joined batch by batch.
+    Of rows with the same key in ``lookup`` the one with the smallest values counts, so
+    facts are never multiplied. A streaming ``facts`` is joined batch by batch.
     """
-    return facts.join(lookup.select(key, *values), key, "left")
+    held = lookup.groupBy(key).agg(F.min(F.struct(*values)).alias("_held"))
+    held = held.select(key, *[F.col(f"_held.{v}").alias(v) for v in values])
+    return facts.join(held, key, "left")
 
 
 def hit_rate(facts: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     """``(calls, hits)``: lookups made, and lookups that found their key.
 
-    Calls are counted per key first, so the join sees one row per key.
+    Calls are counted per key first, and a key that is held twice counts once, so the join
+    sees one row per key.
     """
     calls = facts.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    held = lookup.select(key, F.lit(True).alias("_hit"))
+    held = lookup.select(key).distinct().withColumn("_hit", F.lit(True))
     return calls.join(held, key, "left").agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("calls"),
         F.coalesce(F.sum(F.when(F.col("_hit"), F.col("n"))), F.lit(0)).alias("hits"),

@@ -1,13 +1,8 @@
 """Work that depends on the order of single rows, split so that no key meets one task.
 
-A key's rows are cut into parts that follow one another. A running value is then the value
-within the part plus the sum of the key's earlier parts. There are two ways to cut:
-
-* by ``bucket``, a column that never falls along the order, such as the hour of the time.
-  Parts are added up in a first pass, and one shuffle by key and bucket does the rest.
-* by range partitioning on key and order, where there is no such column or one of its
-  parts has more than ``bucket_rows`` rows. This spreads any key, also one with all its
-  rows at one time, but shuffles twice and stages the rows in between.
+A key's rows are cut into parts that follow one another, by range partitioning on key and
+order. This spreads any key, also one with all its rows at one time. A running value is then the
+value within the part plus the sum of the key's earlier parts. There is one plan at every size.
 """
 
 from __future__ import annotations
@@ -19,9 +14,6 @@ from pyspark.sql.window import Window, WindowSpec
 
 from eventloom.session import stage_table
 
-# A part of this size is sorted by one task without trouble.
-BUCKET_ROWS = 5_000_000
-
 PART = "_part"
 
 
@@ -55,27 +47,8 @@ def _borders(sums: DataFrame, names: list[str]) -> DataFrame:
     )
 
 
-def _cut(
-    df: DataFrame,
-    names: list[str],
-    order: list[str],
-    value: str,
-    bucket: Column | None,
-    bucket_rows: int,
-) -> tuple[DataFrame, DataFrame]:
+def _cut(df: DataFrame, names: list[str], order: list[str], value: str) -> tuple[DataFrame, DataFrame]:
     """``df`` with its part in ``_part``, and the borders of the parts."""
-    if bucket is not None:
-        parted = df.withColumn(PART, bucket)
-        sums = stage_table(
-            parted.groupBy(*names, PART).agg(
-                F.sum(value).alias("_sum"), F.count(F.lit(1)).alias("_rows")
-            ),
-            "parts",
-        )
-        seen = sums.agg(F.max("_rows").alias("rows"), F.bool_or(F.isnull(PART)).alias("odd")).first()
-        if not seen.odd and (seen.rows or 0) <= bucket_rows:
-            return parted, _borders(sums, names)
-
     ranged = df.repartitionByRange(*names, *order).withColumn(PART, F.spark_partition_id())
     # Written once: a second evaluation could draw the range borders elsewhere.
     parted = stage_table(ranged, "ordered")
@@ -98,8 +71,6 @@ def running_total(
     order: list[str],
     value: str,
     out: str = "total",
-    bucket: Column | None = None,
-    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Add the sum of ``value`` over this and all earlier rows of the same key.
 
@@ -109,7 +80,7 @@ def running_total(
     """
     keyed, names = _with_key(df, keys)
     counted = keyed.withColumn("_value", F.coalesce(value, F.lit(0)))
-    parted, borders = _cut(counted, names, order, "_value", bucket, bucket_rows)
+    parted, borders = _cut(counted, names, order, "_value")
     local = parted.withColumn("_local", F.sum("_value").over(_to_here(names, order)))
     total = F.col("_local") + F.coalesce("_before", F.lit(0))
     return local.join(borders, [*names, PART], "left").select(*df.columns, total.alias(out))
@@ -120,8 +91,6 @@ def number_segments(
     keys: list[str],
     order: list[str],
     is_delimiter: Column,
-    bucket: Column | None = None,
-    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Add to each row the segment it is in, and whether that segment has been closed.
 
@@ -130,7 +99,7 @@ def number_segments(
     """
     keyed, names = _with_key(df, keys)
     marked = keyed.withColumn("_mark", F.coalesce(is_delimiter, F.lit(False)).cast("bigint"))
-    parted, borders = _cut(marked, names, order, "_mark", bucket, bucket_rows)
+    parted, borders = _cut(marked, names, order, "_mark")
     counted = parted.withColumn("_seen", F.sum("_mark").over(_to_here(names, order))).withColumn(
         "_in_part", F.sum("_mark").over(Window.partitionBy(*names, PART))
     )
@@ -188,26 +157,12 @@ def delimiter_segments(
     order: list[str],
     value: str,
     is_delimiter: Column,
-    bucket: Column | None = None,
-    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """The rows between delimiters, as ``(keys, segment, n, items)``.
 
     ``items`` is every value followed by a blank. A segment is emitted when its closing
     delimiter is there and it is not empty; delimiters themselves are not part of it.
     """
-    marked = df.withColumn("_delim", is_delimiter)
-    if bucket is not None:
-        marked = marked.withColumn("_bucket", bucket)
-    marked = marked.select(
-        *dict.fromkeys([*keys, *order, value, "_delim"]), *(["_bucket"] if bucket is not None else [])
-    )
-    numbered = number_segments(
-        marked,
-        keys,
-        order,
-        F.col("_delim"),
-        bucket=F.col("_bucket") if bucket is not None else None,
-        bucket_rows=bucket_rows,
-    )
+    marked = df.withColumn("_delim", is_delimiter).select(*dict.fromkeys([*keys, *order, value, "_delim"]))
+    numbered = number_segments(marked, keys, order, F.col("_delim"))
     return collect_segments(numbered, keys, order, value)

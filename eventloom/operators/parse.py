@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +18,8 @@ def _struct(schema: T.StructType | str) -> T.StructType:
 
 def _field(text: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.IntegralType):
-        # A cast would forgive blanks around a whole number.
-        text = F.when(~text.contains(" "), text)
+        # A cast would forgive white space around a whole number.
+        text = F.when(text.rlike(r"^[+-]?[0-9]+\z"), text)
     return text.try_cast(kind)
 
 
@@ -57,28 +58,29 @@ def parse_json(
     A line that is not just one JSON object, or that has a field of another type than
     ``schema``, is bad and keeps its text; with ``strict`` it raises instead.
     """
-    # The parser stops at the end of the first value. Put into a list that something
-    # follows, a line with more than one object is noticed.
+    # The parser stops at the end of the first value, so the line is put into a list that a
+    # mark with its length ends. A line with more than one object, or one that closes the list
+    # itself, leaves the list without the mark as its second element; the names in use
+    # are drawn anew for each plan, so no line can hold them.
+    name = uuid.uuid4().hex
     text = F.concat(
-        F.lit('{"line":['), F.col(value), F.lit('],"size":'), F.length(value), F.lit("}")
-    )
-    full = T.StructType(
-        [
-            T.StructField("line", T.ArrayType(_struct(schema))),
-            T.StructField("size", T.LongType()),
-            T.StructField(CORRUPT, T.StringType()),
-        ]
+        F.lit(f'{{"{name}":['), F.col(value), F.lit(f',{{"{name}":'), F.length(value), F.lit("}]}")
     )
+    element = T.StructType([*_struct(schema).fields, T.StructField(name, T.LongType())])
+    full = T.StructType([T.StructField(name, T.ArrayType(element)), T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(text, full, {"columnNameOfCorruptRecord": CORRUPT})
     # As the output of a generator the struct is computed once; as a plain column it
     # would be parsed again in every filter that is pushed below this step.
     out = df.select("*", F.explode(F.array(parsed)).alias("_json"))
-    doc = F.get("_json.line", F.lit(0))
+    both = F.col(f"_json.{name}")
+    first, mark = F.get(both, F.lit(0)), F.get(both, F.lit(1))
+    doc = first.dropFields(name)
     good = (
         F.col(f"_json.{CORRUPT}").isNull()
-        & (F.size("_json.line") == 1)
-        & doc.isNotNull()
-        & (F.col("_json.size") == F.length(value))
+        & (F.size(both) == 2)
+        & first.isNotNull()
+        & first[name].isNull()
+        & (mark[name] == F.length(value))
     )
     bad = ~F.coalesce(good, F.lit(False))
     if strict:

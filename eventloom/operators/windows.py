@@ -60,13 +60,20 @@ def window_max_by(
     order: list[str],
     keep: list[str] | None = None,
 ) -> DataFrame:
-    """Per key and window the row with the largest ``value``, on a tie the first in ``order``."""
+    """Per key and window the row with the largest ``value``, on a tie the first in ``order``.
+
+    Any type that can be ordered; NaN is above all numbers, as in Spark's order. Rows with a
+    null ``value`` are left out.
+    """
     kept = [c for c in [value, *order, *(keep or [])] if c not in (key,)]
     kept = list(dict.fromkeys(kept))
-    rank = F.struct((-F.col(value)).alias("v"), *[F.col(c) for c in order])
-    best = df.groupBy(tumbling(ts, width).alias("window"), key).agg(
-        F.min_by(F.struct(*kept), rank).alias("best")
+    # Equal values first, so that the second step has no ties.
+    first = (
+        df.where(F.col(value).isNotNull())
+        .groupBy(tumbling(ts, width).alias("window"), key, F.col(value).alias("_value"))
+        .agg(F.min_by(F.struct(*kept), F.struct(*order)).alias("first"))
     )
+    best = first.groupBy("window", key).agg(F.max_by("first", "_value").alias("best"))
     return best.select(
         F.col("window.start").alias("window_start"), key, *[F.col(f"best.{c}") for c in kept]
     )

@@ -70,15 +70,3 @@ def stage_table(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a part of a table that was read in fewer partitions than that.
-
-    For costly parsing of few or unsplittable files. A scan with enough partitions, as of
-    any large table, is returned as it is, without a shuffle. ``df`` is to be a plain scan.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)

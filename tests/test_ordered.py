@@ -39,15 +39,6 @@ def by_key(rows):
     return groups
 
 
-@pytest.fixture(params=["range", "buckets", "hot bucket"])
-def cut(request):
-    """How keys are cut: the hot bucket is over the limit, so that ranges are taken."""
-    if request.param == "range":
-        return {}
-    limit = 5_000_000 if request.param == "buckets" else 50
-    return {"bucket": F.date_trunc("minute", "ts"), "bucket_rows": limit}
-
-
 @pytest.fixture(params=[1, 4, 16])
 def shuffle_partitions(request, spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
@@ -60,9 +51,9 @@ def shuffle_partitions(request, spark):
     spark.conf.set(coalesce, "true")
 
 
-def test_running_total(spark, shuffle_partitions, cut):
+def test_running_total(spark, shuffle_partitions):
     rows = skewed_rows()
-    got = running_total(frame(spark, rows), ["k"], ["ts", "id"], "v", **cut)
+    got = running_total(frame(spark, rows), ["k"], ["ts", "id"], "v")
     expected = {}
     for group in by_key(rows).values():
         total = 0
@@ -73,18 +64,18 @@ def test_running_total(spark, shuffle_partitions, cut):
     assert {r.id: r.total for r in got.collect()} == expected
 
 
-def test_rows_without_bucket_are_not_lost(spark):
+def test_rows_without_time_are_not_lost(spark):
     df = spark.range(100).select(
         "id", F.lit(1).alias("v"), F.when(F.col("id") >= 10, F.timestamp_seconds("id")).alias("ts")
     )
-    got = running_total(df, [], ["ts", "id"], "v", bucket=F.date_trunc("minute", "ts")).collect()
+    got = running_total(df, [], ["ts", "id"], "v").collect()
     assert {r.id: r.total for r in got} == {i: i + 1 for i in range(100)}
 
 
-def test_keys_of_several_columns_and_kinds(spark, cut):
+def test_keys_of_several_columns_and_kinds(spark):
     df = frame(spark, skewed_rows(600)).withColumn("day", F.to_date("ts"))
     keys = ["k", "day", "v"]
-    got = running_total(df, keys, ["ts", "id"], "v", **cut).collect()
+    got = running_total(df, keys, ["ts", "id"], "v").collect()
     expected, totals = {}, Counter()
     for r in sorted(df.collect(), key=lambda r: (r.ts, r.id)):
         totals[(r.k, r.day, r.v)] += r.v
@@ -104,7 +95,7 @@ def test_hot_key_is_spread_over_partitions(spark, shuffle_partitions):
     from eventloom.operators.ordered import _cut, _with_key
 
     rows, names = _with_key(frame(spark, skewed_rows()), ["k"])
-    placed, borders = _cut(rows, names, ["ts", "id"], "v", F.date_trunc("minute", "ts"), 50)
+    placed, borders = _cut(rows, names, ["ts", "id"], "v")
     assert borders.count() <= 2 * shuffle_partitions
     sizes = [r["count"] for r in placed.groupBy("_part").count().collect()]
     assert max(sizes) <= 3 * 3000 / shuffle_partitions
@@ -124,21 +115,21 @@ def brute_segments(rows):
     return out
 
 
-def test_delimiter_segments(spark, shuffle_partitions, cut):
+def test_delimiter_segments(spark, shuffle_partitions):
     rows = skewed_rows()
-    got = delimiter_segments(frame(spark, rows), ["k"], ["ts", "id"], "v", F.col("d"), **cut)
+    got = delimiter_segments(frame(spark, rows), ["k"], ["ts", "id"], "v", F.col("d"))
     assert Counter((r.k, r.n, r["items"]) for r in got.collect()) == brute_segments(rows)
 
 
-def test_long_open_tail_is_not_emitted(spark, shuffle_partitions, cut):
+def test_long_open_tail_is_not_emitted(spark, shuffle_partitions):
     rows = [(i, "k", i, i, i in (0, 3)) for i in range(1000)]
-    got = delimiter_segments(frame(spark, rows), ["k"], ["ts", "id"], "v", F.col("d"), **cut).collect()
+    got = delimiter_segments(frame(spark, rows), ["k"], ["ts", "id"], "v", F.col("d")).collect()
     assert [(r.segment, r.n, r["items"]) for r in got] == [(1, 2, "1 2 ")]
 
 
-def test_segment_over_many_partitions(spark, shuffle_partitions, cut):
+def test_segment_over_many_partitions(spark, shuffle_partitions):
     rows = [(i, "k", i, i, i == 999) for i in range(1000)]
-    got = delimiter_segments(frame(spark, rows), ["k"], ["ts", "id"], "v", F.col("d"), **cut).collect()
+    got = delimiter_segments(frame(spark, rows), ["k"], ["ts", "id"], "v", F.col("d")).collect()
     text = " ".join(str(i) for i in range(999)) + " "
     assert [(r.segment, r.n, r["items"]) for r in got] == [(0, 999, text)]
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from eventloom import drop_scratch, scratch_path, session, stage_table
 from eventloom.operators import joins, lookup, windows
 from eventloom.plans import catalog
-from eventloom.session import spread
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -130,12 +129,6 @@ def test_salted_join_spreads_one_group(spark, shuffled_joins):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-def test_spread_leaves_wide_scans_alone(spark):
-    wide = spark.range(100, numPartitions=8)
-    assert spread(wide) is wide
-    assert spread(spark.range(100, numPartitions=2)).rdd.getNumPartitions() == 8
-
-
 def test_scratch_is_in_the_shared_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     path = scratch_path(spark, "x")
@@ -144,19 +137,20 @@ def test_scratch_is_in_the_shared_folder(spark):
     assert root in staged.inputFiles()[0]
 
 
-def test_scratch_needs_a_shared_folder_on_a_cluster():
+@pytest.mark.parametrize("master", ["yarn", "local-cluster[3,2,1024]", "local[2]"])
+def test_scratch_is_below_the_warehouse_without_a_checkpoint_folder(master):
     class Context:
-        master = "yarn"
+        pass
 
     class Conf:
         def get(self, key, default=None):
-            return default
+            return "hdfs://shared/warehouse" if key == "spark.sql.warehouse.dir" else default
 
     class Session:
         sparkContext, conf = Context(), Conf()
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session._shared_root(Session())
+    Session.sparkContext.master = master
+    assert session._shared_root(Session()) == "hdfs://shared/warehouse/_scratch"
 
 
 def test_drop_scratch(spark, new_folder, monkeypatch):

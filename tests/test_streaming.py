@@ -385,8 +385,8 @@ def test_each_record(spark, new_folder):
     assert sorted(line for line in got if line) == ["a", "b", "c"]
 
 
-SEQUENCE = [1, 2, 3, 4, 7, 5, 1, 5, 4, 6, 1, 7, 8, 9, 1]
-SEGMENTS = Counter([("s", 5, "2 3 4 7 5 "), ("s", 3, "5 4 6 "), ("s", 3, "7 8 9 ")])
+SEQUENCE = [12, 40, 1, 33, 52, 1, 25, 60, 18, 77, 1]
+SEGMENTS = Counter([("s", 2, "12 40 "), ("s", 2, "33 52 "), ("s", 4, "25 60 18 77 ")])
 
 
 def sequence_files():
