@@ -17,14 +17,19 @@ def with_event_time(
     """Make ``out`` (default ``ts``) the event time, with a watermark ``delay`` behind it.
 
     ``ingest_time`` takes the arrival time instead. A text that is no time gives null,
-    see :func:`without_time`. On a table the time stays zone-less and there is no
-    watermark. A stream needs a time with zone: one without is taken as UTC, whatever
-    the session's zone, and rows that come later than ``delay`` are dropped.
+    see :func:`without_time`. One rule for both: a time without zone is taken as UTC,
+    whatever the session's zone, and one with an offset is moved to UTC. On a table the
+    result is zone-less and there is no watermark. On a stream it has a zone, and rows that
+    come later than ``delay`` are dropped.
     """
     out = out or ts
     time = F.col(ts)
     if ingest_time:
         time = F.current_timestamp()
+    elif not df.isStreaming and df.schema[ts].dataType.typeName() == "string":
+        plain = F.concat(time, F.lit("Z")).try_cast("timestamp").isNotNull()
+        moved = F.to_utc_timestamp(time.try_cast("timestamp"), F.current_timezone())
+        time = F.when(plain, time.try_cast("timestamp_ntz")).otherwise(moved.cast("timestamp_ntz"))
     elif not df.isStreaming:
         time = time.try_cast("timestamp_ntz")
     elif df.schema[ts].dataType.typeName() != "timestamp":

@@ -19,6 +19,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The keyword list is an argument of the source; this is the one the query uses.
 KEYWORDS = ("red", "orange", "yellow", "green", "blue", "indigo", "violet", "grey")
 
+# Files of the page log that is read as a stream, in three batches.
+LOG_FILES = 6
+
 LINE_FIELDS = {
     "l_orderkey": "bigint",
     "l_partkey": "bigint",
@@ -60,12 +63,12 @@ def folder_scan(spark, folder):
 
 def line_stream(spark, folder):
     path = _text_folder(_documents(spark, folder), "documents")
-    return run_to_end(stream_lines(spark, path), "line-stream")
+    return run_to_end(stream_lines(spark, path, bytes_per_trigger=str(1 << 30)), "line-stream")
 
 
 def line_passthrough(spark, folder):
     said = table(spark, folder, "conversations").select(F.col("text").alias("value"))
-    return run_to_end(stream_lines(spark, _text_folder(said, "said")), "passthrough")
+    return run_to_end(stream_lines(spark, _text_folder(said, "said"), bytes_per_trigger=str(1 << 30)), "passthrough")
 
 
 def keyword_sequence(spark, folder):
@@ -215,9 +218,11 @@ def page_cogroup(spark, folder):
 
 
 def page_join_stream(spark, folder):
-    path = _text_folder(derive.page_lines(table(spark, folder, "events")), "page-log")
-    # One batch with all files: no row can be late.
-    return run_to_end(jobs.join_pages(stream_lines(spark, path), "1 day"), "page-join")
+    # The files hold the month's events in no order, so the delay covers the month.
+    events = table(spark, folder, "events").repartition(LOG_FILES)
+    path = _text_folder(derive.page_lines(events), "page-log")
+    lines = stream_lines(spark, path, files_per_trigger=LOG_FILES // 3)
+    return run_to_end(jobs.join_pages(lines, "1 day", delay="31 days", salts=4), "page-join")
 
 
 def _views_and_clicks(spark, folder, *columns):

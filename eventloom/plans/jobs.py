@@ -85,10 +85,16 @@ def page_log(lines: DataFrame, strict: bool = False) -> DataFrame:
     return add_route(parse_json(lines, PAGE_LOG_SCHEMA, strict=strict))
 
 
-def page_cards(lines: DataFrame, delay: str = "0 seconds", strict: bool = False) -> DataFrame:
-    """The keyed cards of both record kinds: ``(route, key, ts, source, title)``."""
+def page_cards(
+    lines: DataFrame, delay: str = "0 seconds", strict: bool = False, ingest_time: bool = False
+) -> DataFrame:
+    """The keyed cards of both record kinds: ``(route, key, ts, source, title)``.
+
+    Cards without a usable ``fileTime`` are in no window; with ``ingest_time`` the arrival
+    time counts and none is needed.
+    """
     cards = keyed_cards(page_log(lines, strict), strict=strict)
-    return with_event_time(cards, "fileTime", delay, out="ts").select(
+    return with_event_time(cards, "fileTime", delay, out="ts", ingest_time=ingest_time).select(
         "route", "key", "ts", "source", "title"
     )
 
@@ -108,14 +114,19 @@ def page_record() -> Column:
 
 
 def join_pages(
-    lines: DataFrame, width: str = "5 seconds", delay: str = "0 seconds", salts: int = 1
+    lines: DataFrame,
+    width: str = "5 seconds",
+    delay: str = "0 seconds",
+    salts: int = 1,
+    ingest_time: bool = False,
 ) -> DataFrame:
     """Navigation cards joined with the cards of the page they lead to, as JSON lines.
 
     A table of lines is read and parsed once: the cards are staged by route, and each
-    side of the join reads its own. A stream reads its source once per side.
+    side of the join reads its own. A stream reads its source once per side; ``delay`` has to
+    cover the disorder between the batches, and ``salts`` splits hot pages.
     """
-    cards = page_cards(lines, delay)
+    cards = page_cards(lines, delay, ingest_time=ingest_time)
     if not lines.isStreaming:
         cards = stage_table(cards, "cards", partition_by="route")
     nav, page = (select_route(cards, side).drop("route") for side in (NAV, PAGE))
@@ -124,8 +135,8 @@ def join_pages(
 
 
 def cogroup_pages(
-    lines: DataFrame, width: str = "5 seconds", delay: str = "0 seconds"
+    lines: DataFrame, width: str = "5 seconds", delay: str = "0 seconds", ingest_time: bool = False
 ) -> DataFrame:
     """One row per page and window with the number of cards on either side, in one pass."""
-    cards = page_cards(lines, delay)
+    cards = page_cards(lines, delay, ingest_time=ingest_time)
     return cogroup_tagged(cards, "key", "ts", width, is_left=F.col("route") == NAV)

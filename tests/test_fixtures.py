@@ -282,3 +282,18 @@ def test_window_max_by_orders_any_type(spark, kind, values, best):
 def test_a_line_cannot_close_the_check(spark, line):
     parsed = parse.parse_json(lines(spark, [line, '{"x":7}']), "x int").select("value", "bad", "doc.x").collect()
     assert {r.value: (r.bad, r.x if not r.bad else None) for r in parsed} == {line: (True, None), '{"x":7}': (False, 7)}
+
+
+def test_arrival_time_needs_no_file_time(spark):
+    nav = '{"header":{"fileContents":"a/NAV.json"},"body":{"cards":[{"id":"P1","title":"t1"}]}}'
+    page = '{"header":{"fileContents":"a/P1.json"},"body":{"cards":[{"title":"y"}]}}'
+    log = lines(spark, [nav, page])
+    assert jobs.join_pages(log, "1 day").count() == 0
+    assert [json.loads(r.value)["title"] for r in jobs.join_pages(log, "1 day", ingest_time=True).collect()] == ["y"]
+    assert jobs.cogroup_pages(log, "1 day", ingest_time=True).count() == 1
+
+
+def test_a_time_with_offset_is_moved_to_utc(spark):
+    df = spark.createDataFrame([("2023-04-05T09:41:18+08:00",), ("2023-04-05 09:41:18",)], "t string")
+    got = [r.t for r in windows.with_event_time(df, "t").collect()]
+    assert got == [datetime.datetime(2023, 4, 5, 1, 41, 18), datetime.datetime(2023, 4, 5, 9, 41, 18)]
