@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from eventloom.operators.ordered import running_total
 
 
 def with_event_time(
@@ -100,19 +101,14 @@ def cumulate_windows(
     """Running sum of ``value`` over the windows of each key (tables only).
 
     ``seed(key, seed)`` gives totals to start from, as after a restore; other keys
-    start at 0. Input is one row per key and window, so what is ordered here is the
-    number of windows, not of events.
+    start at 0. Input is one row per key and window. Windows are cut by range like other
+    ordered work, so that a key with many windows is not one task.
     """
-    order = (
-        Window.partitionBy(key)
-        .orderBy("window_start")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    running = F.sum(value).over(order)
+    running = running_total(per_window, [key], ["window_start"], value, out)
     if seed is None:
-        return per_window.withColumn(out, running)
-    seeded = per_window.join(seed.select(key, "seed"), key, "left")
-    return seeded.withColumn(out, running + F.coalesce("seed", F.lit(0))).drop("seed")
+        return running
+    seeded = running.join(seed.select(key, "seed"), key, "left")
+    return seeded.withColumn(out, F.col(out) + F.coalesce("seed", F.lit(0))).drop("seed")
 
 
 def running_total_per_window(
@@ -121,12 +117,15 @@ def running_total_per_window(
     """The per-key running total as it stands at the end of each window.
 
     The same as the largest running total within the window, since totals of
-    non-negative values only grow, but events are added up per window first.
+    non-negative values only grow, but events are added up per window first. A negative
+    value fails the job, as the two would differ.
     """
     if value is None:
         per_window = window_counts(df, key, ts, width)
     else:
-        per_window = windowed_sum(df, key, ts, width, value, out="n")
+        refused = F.raise_error("negative value in running_total_per_window")
+        checked = F.when(F.col(value) < 0, refused.cast(df.schema[value].dataType)).otherwise(F.col(value))
+        per_window = windowed_sum(df.withColumn(value, checked), key, ts, width, value, out="n")
     return cumulate_windows(per_window, key, "n", out).drop("n")
 
 

@@ -297,3 +297,9 @@ def test_a_time_with_offset_is_moved_to_utc(spark):
     df = spark.createDataFrame([("2023-04-05T09:41:18+08:00",), ("2023-04-05 09:41:18",)], "t string")
     got = [r.t for r in windows.with_event_time(df, "t").collect()]
     assert got == [datetime.datetime(2023, 4, 5, 1, 41, 18), datetime.datetime(2023, 4, 5, 9, 41, 18)]
+
+
+def test_negative_values_have_no_running_total_per_window(spark):
+    df = spark.createDataFrame([("k", 3), ("k", -5)], "k string, v bigint").withColumn("ts", F.lit(WINDOW).cast("timestamp_ntz"))
+    with pytest.raises(Exception, match="negative value"):
+        windows.running_total_per_window(df, "k", "ts", "5 seconds", "v").collect()
