@@ -2,8 +2,9 @@
 
 The JVM splits and hashes words; n-grams are made from the hashes with array arithmetic. The
 model is trained by workers on disjoint parts of the labelled sample; after each pass their
-per-coordinate sums, whose size the model bounds, are averaged. L1 leaves few weights, which is
-what is broadcast.
+per-coordinate sums, whose size the model bounds, are averaged on Spark in blocks of coordinates,
+so the driver gets one array a pass, however many workers there are. L1 leaves few weights, which
+is what is broadcast.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,12 +22,16 @@ from eventloom.llm.common import extended, whole_text
 from eventloom.session import stage_table
 
 
+BLOCK_BITS = 14
+MOVES = "block int, worker int, at binary, dz binary, dn binary"
+
+
 @dataclass(frozen=True)
 class Settings:
     """``max_rows`` bounds the labelled sample; ``bits`` the weights (2 ** bits at most)."""
 
     max_rows: int = 60_000
-    bits: int = 18
+    bits: int = 20
     alpha: float = 1.0
     beta: float = 1.0
     l1: float = 1.5
@@ -96,6 +102,47 @@ def _pass(batches: Iterator[pa.RecordBatch], z: np.ndarray, n: np.ndarray, s: Se
             n[x] += g * g
 
 
+def _moves(worker: int, dz: np.ndarray, dn: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """What a worker adds, a row for each block of coordinates it met: places within it and moves."""
+    met = np.flatnonzero(dn > 0)
+    block = met >> BLOCK_BITS
+    for b in np.unique(block):
+        own = met[block == b]
+        at = (own & ((1 << BLOCK_BITS) - 1)).astype(np.uint16)
+        yield pa.RecordBatch.from_pydict(
+            {
+                "block": pa.array([b], pa.int32()),
+                "worker": pa.array([worker], pa.int32()),
+                "at": [at.tobytes()],
+                "dz": [dz[own].astype(np.float32).tobytes()],
+                "dn": [dn[own].astype(np.float32).tobytes()],
+            }
+        )
+
+
+def averaged(moves: DataFrame) -> DataFrame:
+    """One row (block, dz, dn) a block: the mean over the workers that met a coordinate."""
+
+    def mean(table: pa.Table) -> pa.Table:
+        size = 1 << BLOCK_BITS
+        dz, dn, met = np.zeros(size), np.zeros(size), np.zeros(size, np.int32)
+        for row in table.sort_by("worker").to_pylist():  # the same sums in every run
+            at = np.frombuffer(row["at"], np.uint16)
+            dz[at] += np.frombuffer(row["dz"], np.float32)
+            dn[at] += np.frombuffer(row["dn"], np.float32)
+            met[at] += 1
+        met = np.maximum(met, 1)
+        return pa.table(
+            {
+                "block": table.column("block").slice(0, 1),
+                "dz": [(dz / met).astype(np.float32).tobytes()],
+                "dn": [(dn / met).astype(np.float32).tobytes()],
+            }
+        )
+
+    return moves.groupBy("block").applyInArrow(mean, "block int, dz binary, dn binary")
+
+
 def sample_labels(labels: DataFrame, s: Settings, id_col: str = "doc_id", label_col: str = "toxic") -> DataFrame:
     """(id, label), the larger label of a repeated id; about ``max_rows`` of them, by a hash of the id."""
     known = (
@@ -123,20 +170,13 @@ def fit(documents: DataFrame, labels: DataFrame, s: Settings = Settings(), id_co
             own_z, own_n = (x.astype(np.float64) for x in state.value)
             before = own_n.copy()
             _pass(batches, own_z, own_n, s)
-            yield pa.RecordBatch.from_pydict(
-                {"dz": [(own_z - state.value[0]).astype(np.float32).tobytes()], "dn": [(own_n - before).astype(np.float32).tobytes()]}
-            )
+            yield from _moves(TaskContext.get().partitionId(), own_z - state.value[0], own_n - before)
 
         # Each worker starts from the same sums; what those that met a coordinate add is averaged.
-        moves = rows.mapInArrow(train, "dz binary, dn binary").collect()  # workers * 2 ** bits * 8 bytes
-        added_z, added_n, met = np.zeros(size), np.zeros(size), np.zeros(size, np.int32)
-        for move in moves:
-            dn = np.frombuffer(move["dn"], np.float32)
-            added_z += np.frombuffer(move["dz"], np.float32)
-            added_n += dn
-            met += dn > 0
-        z += added_z / np.maximum(met, 1)
-        n += added_n / np.maximum(met, 1)
+        for move in averaged(rows.mapInArrow(train, MOVES)).collect():  # 2 ** bits * 8 bytes
+            first = move["block"] << BLOCK_BITS
+            z[first : first + (1 << BLOCK_BITS)] += np.frombuffer(move["dz"], np.float32)[: size - first]
+            n[first : first + (1 << BLOCK_BITS)] += np.frombuffer(move["dn"], np.float32)[: size - first]
     w = _weights(z, n, s)
     index = np.flatnonzero(w[:-1])
     return ToxicityModel(index, w[index].astype(np.float32), float(w[-1]), s.bits)

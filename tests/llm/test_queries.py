@@ -8,11 +8,12 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
 import corpus_pipeline
-from eventloom.llm import decontaminate, secrets
+from eventloom.llm import decontaminate, secrets, toxicity
 from eventloom.llm.catalog import QUERIES, URL_RULES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -246,6 +247,20 @@ def test_toxicity(spark, odd, documents):
     assert min(s for s, t in learned if t) > np.median([s for s, t in learned if not t])
 
 
+def test_toxicity_sums_come_as_one_array(spark):
+    assert toxicity.Settings().bits == 20
+    rng = np.random.default_rng(3)
+    size = (1 << 15) + 1  # two whole blocks and the bias
+    moves = [(rng.normal(size=size), rng.random(size) * (rng.random(size) < 0.3)) for _ in range(40)]
+    table = pa.Table.from_batches([b for k, m in enumerate(moves) for b in toxicity._moves(k, *m)])
+    got = toxicity.averaged(spark.createDataFrame(table).repartition(7)).collect()
+    assert sorted(r["block"] for r in got) == [0, 1, 2]
+    met = np.maximum(sum((n > 0).astype(int) for _, n in moves), 1)
+    for part, expected in (("dz", sum(z * (n > 0) for z, n in moves) / met), ("dn", sum(n for _, n in moves) / met)):
+        joined = np.concatenate([np.frombuffer(r[part], np.float32) for r in sorted(got, key=lambda r: r["block"])])
+        assert np.allclose(joined[:size], expected, atol=1e-5) and not joined[size:].any()
+
+
 def counts(text):
     words = WORD.findall(text or "")
     windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
