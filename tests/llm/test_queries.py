@@ -13,7 +13,7 @@ import pyarrow.parquet as pq
 import pytest
 
 import corpus_pipeline
-from eventloom.llm import decontaminate, secrets, toxicity
+from eventloom.llm import chosen_path, decontaminate, secrets, toxicity
 from eventloom.llm.catalog import QUERIES, URL_RULES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -70,6 +70,14 @@ def test_ngram_join(spark, odd, documents):
     assert expected[5006][0] == 5004 and expected[5004][2] == 1 and expected[5007][0] == 5007
 
 
+def test_ngram_join_recall():
+    s = chosen_path.JoinSettings()
+    met = 1.0
+    for _ in range(s.depth):  # a branching process: a pair's common paths survive every split
+        met = 1 - np.exp(-s.branching * met)
+    assert s.limit == 2500 and s.runs() == 9 and (1 - met) ** s.runs() <= 0.005
+
+
 def normal(text):
     return re.sub(r"[\W_]+", " ", (text or "").lower()).strip()
 
