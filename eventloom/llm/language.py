@@ -45,23 +45,27 @@ def fit(
 ) -> LanguageModel:
     """Dictionaries from a bounded sample: ``slices`` slices of ``slice_chars`` characters a language.
 
-    Rows are drawn by a hash of their text, and each slice begins at a place in the text that
-    the hash gives. Rows without language or letters are left out. Of more than
-    ``max_languages`` languages the most frequent are learned. No rows: an empty model, which
+    Distinct texts are counted and drawn, by their hash, so copies fill no place of another text;
+    each slice begins at a place in the text that the hash gives. Rows without language or
+    letters are left out. Of more than ``max_languages`` languages those with the most
+    distinct texts are learned. No rows: an empty model, which
     answers ``und``.
     """
     rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
     )
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages)
     h = F.xxhash64("text")
-    # About four times the wanted rows are left before any is moved.
+    distinct = rows.select("lang", h.alias("h")).distinct()  # copies go before any row is moved
+    counts = distinct.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages)
+    # About four times the wanted texts are left before any is moved.
     near = (F.pmod(h, F.lit(1_000_000)) < F.lit(4e6) * slices / F.col("count")) | (F.col("count") <= 4 * slices)
     start = F.pmod(F.shiftright(h, 20), F.greatest(F.length("text") - slice_chars, F.lit(1))).cast("int") + 1
     drawn = (
         rows.join(F.broadcast(counts), "lang")  # max_languages rows
         .where(near)
         .select("lang", h.alias("h"), letters_only(F.substring("text", start, F.lit(slice_chars))).alias("slice"))
+        .groupBy("lang", "h")
+        .agg(F.min("slice").alias("slice"))
     )
     first = Window.partitionBy("lang").orderBy("h", "slice")
     picked = (

@@ -13,7 +13,7 @@ import pyarrow.parquet as pq
 import pytest
 
 import corpus_pipeline
-from eventloom.llm import chosen_path, decontaminate, secrets, toxicity
+from eventloom.llm import chosen_path, decontaminate, language, secrets, toxicity
 from eventloom.llm.catalog import QUERIES, URL_RULES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -150,6 +150,17 @@ def test_language(spark, odd, documents):
     assert sum(held) >= 0.95 * len(held)
 
 
+def test_language_learns_from_distinct_texts(spark):
+    few = [(f"{chr(97 + k) * 3} words of text", "xx") for k in range(20)] * 500
+    other = [("one and the same text", "yy")] * 3000 + [(f"text {chr(97 + k // 26)}{chr(97 + k % 26)}", "yy") for k in range(600)]
+    model = language.fit(spark.createDataFrame(few + other, "text string, lang string"), slices=64)
+    assert sorted(model.contents) == ["xx", "yy"]
+    assert all(f"{chr(97 + k) * 3} words".encode() in model.contents["xx"] for k in range(20))
+    assert len(re.findall(rb"words of text", model.contents["xx"])) == 20  # each once
+    slices = model.contents["yy"].replace(b"one and the same text", b"text").split(b"text")
+    assert model.contents["yy"].count(b"one and the same") <= 1 and len(slices) == 65
+
+
 def base_spans(text):
     """The fixed kinds, straight from their definition."""
     found = []
