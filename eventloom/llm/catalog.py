@@ -8,8 +8,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import byte_bpe, chosen_path, decision_list, decontaminate, language, secrets, token_files, toxicity, url_model, warc
+from eventloom.llm import (
+    byte_bpe,
+    chosen_path,
+    collocations,
+    decision_list,
+    decontaminate,
+    language,
+    resampling,
+    secrets,
+    token_files,
+    toxicity,
+    url_model,
+    warc,
+)
 from eventloom.llm.common import id_remainder, table
+from eventloom.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,6 +92,14 @@ def op10_byte_bpe(spark, folder):
     return byte_bpe.round_trip(documents, path, public_tokenizers.PATTERN, {"doc_id": F.col("doc_id")})
 
 
+def op11_importance_resampling(spark, folder):
+    return resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op12_collocations(spark, folder):
+    return collocations.mine(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_decontamination": op2_decontamination,
@@ -87,7 +111,6 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filters": op9_url_filters,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_collocations": op12_collocations,
 }
-
-# What these queries return has no SQL form: each is tested against a plain computation.
-ORACLE: dict[str, str] = {}
