@@ -14,6 +14,7 @@ from eventloom.llm import (
     collocations,
     decision_list,
     decontaminate,
+    html_text,
     language,
     resampling,
     secrets,
@@ -100,6 +101,10 @@ def op12_collocations(spark, folder):
     return collocations.mine(table(spark, folder, "documents"))
 
 
+def op13_html_text(spark, folder):
+    return html_text.extract(table(spark, folder, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_decontamination": op2_decontamination,
@@ -113,4 +118,5 @@ QUERIES: dict[str, Query] = {
     "op10_byte_bpe": op10_byte_bpe,
     "op11_importance_resampling": op11_importance_resampling,
     "op12_collocations": op12_collocations,
+    "op13_html_text": op13_html_text,
 }

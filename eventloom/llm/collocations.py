@@ -2,8 +2,11 @@
 
 Edges are the longest grams: at every word, it and the words that follow it in its piece of text,
 ``max_words`` at most. Words that have fewer after them, at the end of a piece, give a shorter edge
-that leads nowhere. Only edges are counted on text. The count of any shorter phrase is the flow out
-of its node: the edges that begin with it, plus the shorter ones that end on it.
+that leads nowhere. The count of any shorter phrase is the flow out of its node: the edges that
+begin with it, plus the shorter ones that end on it. A rare word ends its edges too, as no frequent
+phrase goes across it. Whether a word is rare is asked of a bitmap of hashes, whose size is fixed
+(``bitmap_bits``) however many words there are: where hashes meet, a rare word stays, to be left
+out once its phrases are counted.
 
 A node through which a great enough share of its flow passes along one edge, all of it if the path
 is unary, is compacted into that edge and is no phrase of its own; as no phrase is longer than an
@@ -24,6 +27,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,48 +44,76 @@ class Mining:
     min_count: int = 10
     absorbed_percent: int = 50  # share of a phrase's count that makes a longer phrase stand for it
     top: int = 2000  # phrases of a language
+    bitmap_bits: int = 24  # 2 to that power of bits, a literal of 2 MB
     piece_ends: str = r"[.,;:!?\x0A-\x0D]"
     blanks: str = r"[\x20\x09]+"
 
 
-def edges(documents: DataFrame, mining: Mining, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(lang, w1..wk, n): how often each longest gram occurs; words after the end of a piece are null."""
+def pieces(documents: DataFrame, mining: Mining, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(lang, words) of every piece of text."""
     text = F.translate(whole_text(text_col), CAPITALS, CAPITALS.lower())
-    pieces = documents.select(
+    cut = documents.select(
         F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.explode(F.split(text, mining.piece_ends)).alias("piece")
     )
-    words = pieces.select("lang", F.array_remove(F.split("piece", mining.blanks), "").alias("words"))
-    at = words.select("lang", "words", F.posexplode("words").alias("place", "w1"))
-    grams = at.select(
-        "lang", "w1", *[F.get("words", F.col("place") + k - 1).alias(f"w{k}") for k in range(2, mining.max_words + 1)]
-    )
-    return grams.groupBy("lang", *_names(mining)).agg(F.count(F.lit(1)).alias("n"))
+    return cut.select("lang", F.array_remove(F.split("piece", mining.blanks), "").alias("words"))
+
+
+def word_counts(cut: DataFrame) -> DataFrame:
+    """(lang, word, n) of all words."""
+    return cut.select("lang", F.explode("words").alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _bit(word: Column, mining: Mining) -> Column:
+    return F.xxhash64("lang", word).bitwiseAND(F.lit((1 << mining.bitmap_bits) - 1))
+
+
+def frequent_bits(words: DataFrame, mining: Mining) -> Column:
+    """Bits of the frequent words, 64 in a number, as a literal array."""
+    bit = _bit(F.col("word"), mining)
+    one = F.expr("shiftleft(1L, cast(bit & 63 as int))")
+    frequent = words.where(F.col("n") >= mining.min_count).select(bit.alias("bit"))
+    held = frequent.groupBy(F.shiftright("bit", 6).alias("place")).agg(F.bit_or(one).alias("bits")).toArrow()
+    bits = np.zeros(1 << mining.bitmap_bits - 6, np.int64)  # so many rows at most came
+    bits[held.column("place").to_numpy()] = held.column("bits").to_numpy()
+    return F.split(F.lit(",".join(map(str, bits.tolist()))), ",").cast("array<bigint>")
+
+
+def edges(cut: DataFrame, bits: Column, mining: Mining) -> DataFrame:
+    """(lang, gram, n): how often each longest gram of frequent words occurs."""
 
+    def frequent(word: Column) -> Column:
+        bit = _bit(word, mining)
+        return F.getbit(F.get(bits, F.shiftright(bit, 6).cast("int")), bit.bitwiseAND(F.lit(63)).cast("int")) == 1
 
-def _names(mining: Mining) -> list[str]:
-    return [f"w{k}" for k in range(1, mining.max_words + 1)]
+    at = cut.select("lang", "words", F.posexplode("words").alias("place", "w1"))
+    following = [F.get("words", F.col("place") + k - 1).alias(f"w{k}") for k in range(2, mining.max_words + 1)]
+    at = at.where(frequent(F.col("w1"))).select("lang", "w1", *following)
+    for k in range(2, mining.max_words + 1):  # null from the first rare word on
+        goes_on = F.col(f"w{k - 1}").isNotNull() & frequent(F.col(f"w{k}"))
+        at = at.withColumn(f"w{k}", F.when(goes_on, F.col(f"w{k}")))
+    gram = F.concat_ws(" ", *[f"w{k}" for k in range(1, mining.max_words + 1)])
+    return at.groupBy("lang", gram.alias("gram")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def flows(counted_edges: DataFrame, mining: Mining) -> DataFrame:
-    """(lang, phrase, words, n): every phrase up to the longest with ``min_count`` or more, and each
-    language's number of words as the phrase of no words.
+    """(lang, phrase, words, n): every phrase up to the longest with ``min_count`` or more.
 
     Summed from the edges: those that go on from a phrase, and those that end on it.
     """
-    names = _names(mining)
+    size = F.length("gram") - F.length(F.replace("gram", F.lit(" "), F.lit(""))) + 1
 
     def prefix(k: int) -> Column:
         # A shorter edge is a prefix of its own length only, never of a greater one.
-        whole = F.lit(True) if k == 0 else F.col(names[k - 1]).isNotNull()
+        whole = F.col("size") >= k
         if k == mining.max_words:  # one edge is all of its flow: a rare one need not be shuffled again
             whole &= F.col("n") >= mining.min_count
-        phrase = F.concat_ws(" ", *names[:k]) if k else F.lit("")
-        return F.when(whole, F.struct(F.lit(k).alias("words"), phrase.alias("phrase")))
+        return F.when(whole, F.struct(F.lit(k).alias("words"), F.substring_index("gram", " ", k).alias("phrase")))
 
-    levels = F.array_compact(F.array(*[prefix(k) for k in range(mining.max_words + 1)]))
-    spread = counted_edges.select("lang", "n", F.explode(levels).alias("at")).select("lang", "at.words", "at.phrase", "n")
+    levels = F.array_compact(F.array(*[prefix(k) for k in range(1, mining.max_words + 1)]))
+    sized = counted_edges.withColumn("size", size)
+    spread = sized.select("lang", "n", F.explode(levels).alias("at")).select("lang", "at.words", "at.phrase", "n")
     summed = spread.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
-    return summed.where((F.col("words") == 0) | (F.col("n") >= mining.min_count))
+    return summed.where(F.col("n") >= mining.min_count)
 
 
 def compacted(counted: DataFrame, mining: Mining) -> DataFrame:
@@ -115,7 +147,7 @@ def scored(counted: DataFrame, mining: Mining) -> DataFrame:
         F.expr("substring_index(phrase, ' ', k)").alias("left"),
         F.expr("substring(phrase, length(substring_index(phrase, ' ', k)) + 2)").alias("right"),
     )
-    part = lambda side, n: counted.where("words > 0").select("lang", F.col("phrase").alias(side), F.col("n").alias(n))
+    part = lambda side, n: counted.select("lang", F.col("phrase").alias(side), F.col("n").alias(n))
     # A part of a frequent phrase is as frequent, so inner joins lose no candidate.
     joined = cut.join(part("left", "l"), ["lang", "left"]).join(part("right", "r"), ["lang", "right"])
     wide = {c: F.col(c).cast("decimal(38,0)") for c in ("a", "l", "r")}
@@ -127,9 +159,11 @@ def scored(counted: DataFrame, mining: Mining) -> DataFrame:
 
 def mine(documents: DataFrame, mining: Mining = Mining()) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's best phrases."""
-    counted = stage_table(flows(edges(documents, mining), mining), "phrase-flows")
+    cut = pieces(documents, mining)
+    words = stage_table(word_counts(cut), "phrase-words")
+    counted = stage_table(flows(edges(cut, frequent_bits(words, mining), mining), mining), "phrase-flows")
     kept = scored(counted, mining).join(compacted(counted, mining), ["lang", "phrase"], "left_anti")
     best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = kept.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= mining.top)
-    totals = counted.where("words = 0").select("lang", F.col("n").alias("n"))
+    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")

@@ -90,7 +90,20 @@ ranked as (
 select lang, rank, phrase, a, l, r, n, score::bigint as score from ranked join totals using (lang) where rank <= 2000
 """
 
+# The given pages mark their article, so there SQL can cut it out; html_text makes no such assumption.
+HTML_TEXT = r"""
+with articles as (
+  select page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) as inside from pages),
+plain as (
+  select page_id, url, regexp_replace(regexp_replace(inside, '</?b>', '', 'g'), '<[^>]*>', ' ', 'g') as t from articles),
+decoded as (
+  select page_id, url, regexp_replace(regexp_replace(t, '&quot;?', '"', 'g'), '&amp;?', '&', 'g') as t from plain),
+joined as (select page_id, url, trim(regexp_replace(t, '\s+', ' ', 'g')) as text from decoded)
+select page_id, url, text, length(text) as n_chars from joined
+"""
+
 ORACLE: dict[str, str] = {
     "op11_importance_resampling": _resampling(),
     "op12_collocations": COLLOCATIONS,
+    "op13_html_text": HTML_TEXT,
 }
