@@ -1,11 +1,20 @@
-"""Byte-level BPE in Spark expressions: a fold of ranked merges over the bytes of words.
+"""Byte-level BPE in Spark expressions: a fold of ranked merges over the bytes of distinct words.
 
 The rank map is a literal of the query. A SQL map is searched from its beginning, so it is
 laid out as a perfect hash table: one array of seeds, one of slots. Each fold step merges the
-pair with the lowest rank; a word's fold ends when no pair has one.
-
-The corpus's most frequent words (a documented number of them) are folded once each and put
-into a second literal, whatever their share; every other word is folded where it stands.
+pair with the lowest rank; a word's fold ends when no pair has one. Every distinct word of the
+corpus is folded once.
+
+The ids come back to the texts by scan task: each task names the words of its texts once, the words
+are brought together and folded, and (task, word, ids) is written to the shared folder by task.
+The second scan looks its words up in its own file, so neither texts nor occurrences of words are
+shuffled, and no task holds more than the words of its own texts. If a task's texts are not those
+of the first scan, say as files were cut otherwise, its missing words are merged there, by a heap.
+So are words of over ``LONG`` bytes, which are rare and would be slow to fold.
+
+Nulls: a null text is empty and has no ids. Repeated rows are encoded as they stand. Long texts
+are one row of a batch. An empty table gives no rows. Only the kept columns and the text are
+read, so names can't clash.
 """
 
 from __future__ import annotations
@@ -13,24 +22,29 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import json
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+import regex
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import extended, let, whole_text
+from eventloom.llm.common import extended, let
+from eventloom.llm.files import open_store
+from eventloom.session import scratch_path
 
 # Fixed value: the characters of Unicode's White_Space property.
-WHITE = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+WHITE = r"\t-\r \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 P1, P2 = 2_147_483_647, 2_147_483_629
 C1, C2 = 1_597_334_677, 1_181_783_497
-PLACES = 1024  # a word's places fit below it; words of more bytes are merged by a heap
-LONG = PLACES
-MARK = 0xFFFFFFFF  # in a row of ids: a count of bytes and these bytes follow
+PLACES = 1024  # a word's places fit below it
+LONG = 256
+SET = 1 << 20  # distinct words a scan task holds before it hands them on
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -39,11 +53,6 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in file if line.strip())}
 
 
-def java_pattern(pattern: str) -> str:
-    r"""The pattern with white space spelled out, as Java's ``\s`` is ASCII's only."""
-    return pattern.replace(r"[^\s", f"[^{WHITE}").replace(r"\s", f"[{WHITE}]").replace(r"\S", f"[^{WHITE}]")
-
-
 @dataclass(frozen=True)
 class PerfectTable:
     """Seeds and slots so that every key has a slot of its own; ``slot`` is the expression of it."""
@@ -87,10 +96,6 @@ def numbers(values: list[int]) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
 
-def strings(values: list[str]) -> Column:
-    return F.from_json(F.lit(json.dumps(values)), "array<string>")
-
-
 class MergeTable:
     """The literal rank map: (left id, right id) to the id, which is the rank, of their union."""
 
@@ -147,15 +152,6 @@ def id_hex(ids: Column) -> Column:
     return F.array_join(F.transform(ids, four), "")
 
 
-def long_word(word: Column) -> Column:
-    """MARK, number of bytes, bytes padded to whole numbers of four: left to the heap."""
-    size = F.octet_length(word)
-    length = F.lpad(F.hex(size), 8, "0")
-    little = F.concat(*[F.substring(length, i, 2) for i in (7, 5, 3, 1)])
-    padding = F.repeat(F.lit("00"), F.pmod(-size, F.lit(4)))
-    return F.concat(F.lit("FFFFFFFF"), little, F.hex(F.encode(word, "utf-8")), padding)
-
-
 def merge_by_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The same merges for a long word, in n log n steps."""
     if word in ranks:
@@ -180,115 +176,109 @@ def merge_by_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i : end[i]]] for i in range(n) if alive[i]]
 
 
-def resolve_long(row: np.ndarray, encode: Callable[[bytes], list[int]]) -> np.ndarray:
-    """Replace marked stretches of bytes by their ids."""
-    out, at = [], 0
-    while at < len(row):
-        marks = np.flatnonzero(row[at:] == MARK)
-        if not len(marks):
-            break
-        mark = at + int(marks[0])
-        size = int(row[mark + 1])
-        after = mark + 2 + -(-size // 4)
-        out += [row[at:mark], np.array(encode(row[mark + 2 : after].tobytes()[:size]), np.uint32)]
-        at = after
-    return np.concatenate([*out, row[at:]])
+def word_pattern(pattern: str) -> regex.Pattern:
+    r"""The pattern with white space spelled out: ``\s`` of the engine takes four control characters more."""
+    return regex.compile(pattern.replace(r"[^\s", f"[^{WHITE}").replace(r"\s", f"[{WHITE}]").replace(r"\S", f"[^{WHITE}]"))
 
 
-def split_words(text: Column, pattern: str) -> Column:
-    return F.regexp_extract_all(text, F.lit(java_pattern(pattern)), F.lit(0))
+def words_by_task(texts: DataFrame, pattern: str) -> DataFrame:
+    """(word, task): the words of up to ``LONG`` bytes of each scan task's texts, mostly once each."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, find = TaskContext.get().partitionId(), word_pattern(pattern).findall
+        held: set[str] = set()
 
-def frequent_words(words: DataFrame, merges: MergeTable, number: int) -> tuple[PerfectTable, list[str], list[str]]:
-    """The ``number`` most frequent of ``words`` (arrays in ``words``), each folded once.
+        def rows(words: set[str]) -> pa.RecordBatch:
+            short = [w for w in words if len(w) <= LONG and len(w.encode()) <= LONG]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(short, pa.string()), pa.array(np.full(len(short), task, np.int32))], names=["word", "task"]
+            )
 
-    Counts cover all rows. Ties go by the word. The rest is not lost: it is folded in place.
-    """
-    counted = (
-        words.select(F.explode("words").alias("word"))
-        .groupBy("word")
-        .count()
-        .where(F.octet_length("word") <= 64)
-        .orderBy(F.desc("count"), "word")
-        .limit(number)
-    )
-    folded = counted.select("word", F.xxhash64("word").alias("h"), id_hex(merges.fold(F.col("word"))).alias("ids"))
-    top = folded.toArrow()  # number rows of 64 bytes and their ids at most
-    h = top.column("h").to_numpy()
-    return (
-        PerfectTable.build(np.mod(h, P1), np.mod(h, P2)),
-        top.column("word").to_pylist(),
-        top.column("ids").to_pylist(),
-    )
+        for batch in batches:
+            for text in batch.column(0):
+                held.update(find(text.as_py() or ""))
+                if len(held) >= SET:
+                    yield rows(held)
+                    held = set()
+        yield rows(held)
 
+    return texts.mapInArrow(run, "word string, task int")
 
-def encode(
-    documents: DataFrame,
-    ranks: dict[bytes, int],
-    pattern: str,
-    keep: dict[str, Column],
-    text_col: str = "text",
-    frequent: int = 1 << 17,
-) -> DataFrame:
-    """``keep``'s columns with ``ids`` (binary, little-endian 32-bit numbers) of every whole text.
 
-    Null texts are empty and have no ids. Words of more than ``LONG`` bytes are marked in
-    ``ids``; ``finish`` replaces them.
+def fold_words(named: DataFrame, merges: MergeTable) -> DataFrame:
+    """(task, word, ids) of ``named`` (word, task): each distinct word folded once, ids as bytes of 32-bit numbers.
+
+    A word is named once by a task, so its group is bounded by the number of tasks.
     """
-    merges = MergeTable(ranks)
-    words = split_words(whole_text(text_col), pattern)
-    table, known, known_ids = frequent_words(documents.select(words.alias("words")), merges, frequent)
-    known_words = strings([known[i] if i >= 0 else "" for i in table.slots])
-    known_hex = strings([known_ids[i] if i >= 0 else "" for i in table.slots])
-
-    def of(word: Column) -> Column:
-        folded = F.when(F.octet_length(word) <= LONG, id_hex(merges.fold(word))).otherwise(long_word(word))
-        slot = lambda h: table.slot(F.pmod(h, F.lit(P1)), F.pmod(h, F.lit(P2)))
-        return let(
-            slot(F.xxhash64(word)),
-            lambda s: F.when(F.get(known_words, s) == word, F.get(known_hex, s)).otherwise(folded),
-        )
+    by_word = named.repartition("word").groupBy("word").agg(F.collect_set("task").alias("tasks"))
+    folded = by_word.select("word", "tasks", F.unhex(id_hex(merges.fold(F.col("word")))).alias("ids"))
+    return folded.select(F.explode("tasks").alias("task"), "word", "ids")
 
-    return documents.select(
-        *[c.alias(n) for n, c in keep.items()], F.unhex(F.array_join(F.transform(words, of), "")).alias("_ids")
-    )
 
+class KnownWords(dict):
+    """Word to ids as bytes; words that are not there are merged and not kept."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        super().__init__()
+        self.ranks = ranks
+
+    def __missing__(self, word: str) -> bytes:
+        return np.array(merge_by_heap(word.encode(), self.ranks), "<u4").tobytes()
 
-def finish(encoded: DataFrame, ranks: dict[bytes, int], with_ids: bool = False) -> DataFrame:
-    """``n_tokens``, ``ids_sha256`` and ``decoded_sha256``: long words merged, ids decoded by joining pieces."""
-    kept = [c for c in encoded.columns if c != "_ids"]
-    new = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    schema = extended(encoded, new, ("_ids",))
-    shared = encoded.sparkSession.sparkContext.broadcast(ranks)
+    def read(self, folder: str) -> KnownWords:
+        """Add what is in the files of ``folder``, if there are any."""
+        store, path = open_store(folder)
+        files = store.get_file_info(fs.FileSelector(path, allow_not_found=True))
+        for file in files:
+            if file.base_name.endswith(".parquet"):
+                with store.open_input_file(file.path) as source:
+                    rows = pq.read_table(source, columns=["word", "ids"])
+                self.update(zip(rows.column("word").to_pylist(), rows.column("ids").to_pylist()))
+        return self
+
+
+def encode(
+    documents: DataFrame, ranks: dict[bytes, int], pattern: str, keep: dict[str, Column], text_col: str = "text"
+) -> DataFrame:
+    """``keep``'s columns with ``ids`` (array of int) of every whole text and ``ids_sha256`` over them."""
+    folder = scratch_path(documents.sparkSession, "words")
+    named = words_by_task(documents.select(text_col), pattern)
+    fold_words(named, MergeTable(ranks)).repartition("task").write.partitionBy("task").parquet(folder)
+
+    source = documents.select(*[c.alias(n) for n, c in keep.items()], F.col(text_col).alias("_text"))
+    schema = extended(source, "ids array<int>, ids_sha256 string", ("_text",))
+    shared = documents.sparkSession.sparkContext.broadcast(ranks)  # the vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        pieces = [b""] * (max(known.values()) + 1)
-        for token, rank in known.items():
-            pieces[rank] = token
+        known = KnownWords(shared.value).read(f"{folder}/task={TaskContext.get().partitionId()}")
+        find = word_pattern(pattern).findall
         for batch in batches:
-            n, ids_sha, decoded_sha, all_ids = [], [], [], []
-            for raw in batch.column(batch.num_columns - 1):
-                row = np.frombuffer(raw.as_py() or b"", "<u4")
-                if (row == MARK).any():
-                    row = resolve_long(row, lambda word: merge_by_heap(word, known)).astype("<u4")
-                n.append(len(row))
-                ids_sha.append(hashlib.sha256(row.tobytes()).hexdigest())
-                decoded_sha.append(hashlib.sha256(b"".join(map(pieces.__getitem__, row.tolist()))).hexdigest())
-                if with_ids:
-                    all_ids.append(row.astype(np.int32))
-            columns = [*batch.columns[:-1], pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())]
-            names = [*kept, "n_tokens", "ids_sha256", "decoded_sha256"]
-            if with_ids:
-                columns.append(pa.array(all_ids, pa.list_(pa.int32())))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    return encoded.select(*kept, "_ids").mapInArrow(run, schema)
+            raw = [b"".join(map(known.__getitem__, find(text.as_py() or ""))) for text in batch.column(batch.num_columns - 1)]
+            ends = np.cumsum([0, *map(len, raw)]) // 4
+            ids = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(raw), "<i4"))).cast(pa.list_(pa.int32()))
+            shas = pa.array([hashlib.sha256(r).hexdigest() for r in raw], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids, shas], names=schema.names)
+
+    return source.mapInArrow(run, schema)
+
+
+def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
+    """The bytes of ``ids``: their pieces from a literal, joined as hexadecimal digits."""
+    pieces = [""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        pieces[rank] = token.hex()
+    table = F.split(F.lit(",".join(pieces)), ",")
+    return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(table, i)), ""))
 
 
 def round_trip(
-    documents: DataFrame, ranks_path: str, pattern: str, keep: dict[str, Column], with_ids: bool = False, frequent: int = 1 << 17
+    documents: DataFrame, ranks_path: str, pattern: str, keep: dict[str, Column], with_ids: bool = False
 ) -> DataFrame:
+    """``keep``'s columns with ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` and, if asked for, ``ids``."""
     ranks = read_ranks(ranks_path)
-    return finish(encode(documents, ranks, pattern, keep, frequent=frequent), ranks, with_ids)
+    encoded = encode(documents, ranks, pattern, keep)
+    decoded = F.sha2(decode(F.col("ids"), ranks), 256)
+    out = encoded.select(
+        *keep, F.size("ids").cast("bigint").alias("n_tokens"), "ids_sha256", decoded.alias("decoded_sha256"), "ids"
+    )
+    return out if with_ids else out.drop("ids")
