@@ -61,7 +61,6 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         public_tokenizers.PATTERN,
         {c: F.col(c) for c in ("doc_id", "lang", "source")},
         with_ids=True,
-        frequent=1 << 16,  # a smaller literal: the driver has planned all stages before
     )
 
 
