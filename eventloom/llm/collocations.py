@@ -3,38 +3,46 @@
 Edges are the longest grams: at every word, it and the words that follow it in its piece of text,
 ``max_words`` at most. Words that have fewer after them, at the end of a piece, give a shorter edge
 that leads nowhere. The count of any shorter phrase is the flow out of its node: the edges that
-begin with it, plus the shorter ones that end on it. A rare word ends its edges too, as no frequent
-phrase goes across it. Whether a word is rare is asked of a bitmap of hashes, whose size is fixed
-(``bitmap_bits``) however many words there are: where hashes meet, a rare word stays, to be left
-out once its phrases are counted.
+begin with it, plus the shorter ones that end on it.
+
+Rare pairs of words end their edges too, as no frequent phrase goes across one; this changes no
+flow of a frequent phrase, and leaves few edges to shuffle. Pairs are counted by hash for that. A
+bitmap of fixed size (``bitmap_bits``) says which hashes are frequent; where two pairs meet on a
+bit, a rare one stays and is left out once its phrases are counted.
 
 A node through which a great enough share of its flow passes along one edge, all of it if the path
 is unary, is compacted into that edge and is no phrase of its own; as no phrase is longer than an
 edge, each edge is compacted by itself.
 
-Counting is an aggregation by whole edges, combined before the shuffle, so that a word, pair or
-language with a great part of all rows is spread over tasks by what follows it. Only phrases that
-are frequent enough are joined, and no join is forced to be a broadcast; hot words in joins are
-left to Spark's skew join. Scores are decimals, floored exactly.
+Tasks cut texts to words and count within slices; Spark adds up by whole edges, combined before the
+shuffle, so that a word, pair or language with a great part of all rows is spread over tasks by what
+follows it. Only phrases that are frequent enough are joined, and no join is forced to be a
+broadcast; hot words in joins are left to Spark's skew join. Scores are decimals, floored exactly.
 
-Nulls: a null text has no words; a null language is ``und``, and so counted with one of that name. Empty and long texts: a piece
-is a list of its words, a text without words gives nothing. Ties: the first cut by place, then
-phrases by count and by bytes. Repeated rows count as often as they are there. An empty table
-gives no rows. Other columns are not read.
+Nulls: a null text has no words; a null language is ``und`` and counted with one of that name.
+Empty and long texts: long ones are cut at piece ends, which no gram crosses; a text without words
+gives nothing. Ties: the first cut by place, then phrases by count and by bytes. Repeated rows
+count as often as they are there. An empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import whole_text
 from eventloom.session import stage_table
 
-CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+# A-Z become small, piece ends one sign, blanks one blank.
+PREPARED = bytes(
+    c + 32 if 65 <= c <= 90 else 10 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c for c in range(256)
+)
+SLICE = 1 << 22  # bytes of text that a task works on at once
 
 
 @dataclass(frozen=True)
@@ -44,59 +52,115 @@ class Mining:
     min_count: int = 10
     absorbed_percent: int = 50  # share of a phrase's count that makes a longer phrase stand for it
     top: int = 2000  # phrases of a language
-    bitmap_bits: int = 24  # 2 to that power of bits, a literal of 2 MB
-    piece_ends: str = r"[.,;:!?\x0A-\x0D]"
-    blanks: str = r"[\x20\x09]+"
-
-
-def pieces(documents: DataFrame, mining: Mining, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(lang, words) of every piece of text."""
-    text = F.translate(whole_text(text_col), CAPITALS, CAPITALS.lower())
-    cut = documents.select(
-        F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.explode(F.split(text, mining.piece_ends)).alias("piece")
-    )
-    return cut.select("lang", F.array_remove(F.split("piece", mining.blanks), "").alias("words"))
-
-
-def word_counts(cut: DataFrame) -> DataFrame:
-    """(lang, word, n) of all words."""
-    return cut.select("lang", F.explode("words").alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
-
-
-def _bit(word: Column, mining: Mining) -> Column:
-    return F.xxhash64("lang", word).bitwiseAND(F.lit((1 << mining.bitmap_bits) - 1))
-
-
-def frequent_bits(words: DataFrame, mining: Mining) -> Column:
-    """Bits of the frequent words, 64 in a number, as a literal array."""
-    bit = _bit(F.col("word"), mining)
+    bitmap_bits: int = 24  # 2 to that power of bits: 2 MB
+
+    def __post_init__(self):
+        if not 2 <= self.min_words <= self.max_words:
+            raise ValueError("phrases have two words or more")
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
+    """(lang, prepared text) of about ``SLICE`` bytes from rows of (lang, text), cut at piece ends."""
+    held: dict[str, list[bytes]] = {}
+    size = 0
+    for batch in batches:
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            text = text.as_py().translate(PREPARED)
+            at = 0
+            while len(text) - at > SLICE and (end := text.find(b"\n", at + SLICE)) >= 0:
+                yield lang, text[at:end]
+                at = end + 1
+            held.setdefault(lang, []).append(text[at:])
+            size += len(text) - at
+            if size > SLICE:
+                yield from ((k, b"\n".join(v)) for k, v in held.items())
+                held, size = {}, 0
+    yield from ((k, b"\n".join(v)) for k, v in held.items())
+
+
+class Words:
+    """The words of a slice in order, as numbers, with their pairs."""
+
+    def __init__(self, lang: str, text: bytes):
+        tokens = text.decode("utf-8", "replace").replace("\n", " \n ").split(" ")
+        number = {token: i for i, token in enumerate(dict.fromkeys(tokens))}
+        codes = np.fromiter(map(number.__getitem__, tokens), np.int64, len(tokens))
+        self.known = np.array(list(number), object)
+        self.codes = codes[(self.known != "")[codes]]
+        ends = (self.known == "\n")[self.codes]
+        self.is_word = ~ends
+        self.joined = self.is_word[:-1] & self.is_word[1:]  # a word is followed by one of its piece
+        seed = pd.util.hash_array(np.array([lang], object)).astype(np.uint64)
+        hashes = pd.util.hash_array(self.known, categorize=False).astype(np.uint64)[self.codes]
+        pairs = (hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + seed) ^ hashes[1:]
+        pairs = (pairs ^ (pairs >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        self.pairs = pairs ^ (pairs >> np.uint64(29))
+
+    def grams(self, bits: np.ndarray, max_words: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(grams, counts): at every word the longest gram of frequent pairs."""
+        place = self.pairs & np.uint64(len(bits) * 64 - 1)
+        goes_on = self.joined & (bits[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
+        starts = np.flatnonzero(self.is_word)
+        for k in range(1, max_words + 1):
+            longer = np.zeros(len(starts), bool)
+            if k < max_words:
+                inside = starts + k - 1 < len(goes_on)
+                longer[inside] = goes_on[starts[inside] + k - 1]
+            own = starts[~longer]
+            starts = starts[longer]
+            if not len(own):
+                continue
+            key = self.codes[own]
+            for j in range(1, k):
+                key = np.unique(key, return_inverse=True)[1] * len(self.known) + self.codes[own + j]
+            _, first, n = np.unique(key, return_index=True, return_counts=True)
+            gram = self.known[self.codes[own[first]]]
+            for j in range(1, k):
+                gram = gram + " " + self.known[self.codes[own[first] + j]]
+            yield gram, n
+
+
+def prepared(documents: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
+    return documents.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), text.alias("text"))
+
+
+def frequent_pairs(rows: DataFrame, mining: Mining) -> np.ndarray:
+    """A bitmap, 64 bits in a number, of the hashes of pairs of words that may be frequent."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, text in slices(batches):
+            words = Words(lang, text)
+            pairs, n = np.unique(words.pairs[words.joined], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs.view(np.int64)), pa.array(n)], names=["pair", "n"])
+
+    counted = rows.mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
+    bit = F.col("pair").bitwiseAND(F.lit((1 << mining.bitmap_bits) - 1)).alias("bit")
+    frequent = counted.where(F.col("n") >= mining.min_count).select(bit)
     one = F.expr("shiftleft(1L, cast(bit & 63 as int))")
-    frequent = words.where(F.col("n") >= mining.min_count).select(bit.alias("bit"))
     held = frequent.groupBy(F.shiftright("bit", 6).alias("place")).agg(F.bit_or(one).alias("bits")).toArrow()
-    bits = np.zeros(1 << mining.bitmap_bits - 6, np.int64)  # so many rows at most came
+    bits = np.zeros(1 << mining.bitmap_bits - 6, np.int64)  # no more rows than that came
     bits[held.column("place").to_numpy()] = held.column("bits").to_numpy()
-    return F.split(F.lit(",".join(map(str, bits.tolist()))), ",").cast("array<bigint>")
+    return bits.view(np.uint64)
 
 
-def edges(cut: DataFrame, bits: Column, mining: Mining) -> DataFrame:
-    """(lang, gram, n): how often each longest gram of frequent words occurs."""
+def edges(rows: DataFrame, bits: np.ndarray, mining: Mining) -> DataFrame:
+    """(lang, gram, n): how often each longest gram of frequent pairs occurs."""
+    shared = rows.sparkSession.sparkContext.broadcast(bits)  # of a fixed size
+    max_words = mining.max_words
 
-    def frequent(word: Column) -> Column:
-        bit = _bit(word, mining)
-        return F.getbit(F.get(bits, F.shiftright(bit, 6).cast("int")), bit.bitwiseAND(F.lit(63)).cast("int")) == 1
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, text in slices(batches):
+            for gram, n in Words(lang, text).grams(shared.value, max_words):
+                langs = pa.array([lang], pa.string()).take(pa.array(np.zeros(len(gram), np.int32)))
+                yield pa.RecordBatch.from_arrays([langs, pa.array(gram, pa.string()), pa.array(n)], names=["lang", "gram", "n"])
 
-    at = cut.select("lang", "words", F.posexplode("words").alias("place", "w1"))
-    following = [F.get("words", F.col("place") + k - 1).alias(f"w{k}") for k in range(2, mining.max_words + 1)]
-    at = at.where(frequent(F.col("w1"))).select("lang", "w1", *following)
-    for k in range(2, mining.max_words + 1):  # null from the first rare word on
-        goes_on = F.col(f"w{k - 1}").isNotNull() & frequent(F.col(f"w{k}"))
-        at = at.withColumn(f"w{k}", F.when(goes_on, F.col(f"w{k}")))
-    gram = F.concat_ws(" ", *[f"w{k}" for k in range(1, mining.max_words + 1)])
-    return at.groupBy("lang", gram.alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+    return rows.mapInArrow(run, "lang string, gram string, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def flows(counted_edges: DataFrame, mining: Mining) -> DataFrame:
-    """(lang, phrase, words, n): every phrase up to the longest with ``min_count`` or more.
+    """(lang, phrase, words, n): every phrase up to the longest with ``min_count`` or more, and each
+    language's number of words as the phrase of no words.
 
     Summed from the edges: those that go on from a phrase, and those that end on it.
     """
@@ -107,13 +171,14 @@ def flows(counted_edges: DataFrame, mining: Mining) -> DataFrame:
         whole = F.col("size") >= k
         if k == mining.max_words:  # one edge is all of its flow: a rare one need not be shuffled again
             whole &= F.col("n") >= mining.min_count
-        return F.when(whole, F.struct(F.lit(k).alias("words"), F.substring_index("gram", " ", k).alias("phrase")))
+        phrase = F.substring_index("gram", " ", k) if k else F.lit("")
+        return F.when(whole, F.struct(F.lit(k).alias("words"), phrase.alias("phrase")))
 
-    levels = F.array_compact(F.array(*[prefix(k) for k in range(1, mining.max_words + 1)]))
+    levels = F.array_compact(F.array(*[prefix(k) for k in range(mining.max_words + 1)]))
     sized = counted_edges.withColumn("size", size)
     spread = sized.select("lang", "n", F.explode(levels).alias("at")).select("lang", "at.words", "at.phrase", "n")
     summed = spread.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
-    return summed.where(F.col("n") >= mining.min_count)
+    return summed.where((F.col("words") == 0) | (F.col("n") >= mining.min_count))
 
 
 def compacted(counted: DataFrame, mining: Mining) -> DataFrame:
@@ -147,7 +212,7 @@ def scored(counted: DataFrame, mining: Mining) -> DataFrame:
         F.expr("substring_index(phrase, ' ', k)").alias("left"),
         F.expr("substring(phrase, length(substring_index(phrase, ' ', k)) + 2)").alias("right"),
     )
-    part = lambda side, n: counted.select("lang", F.col("phrase").alias(side), F.col("n").alias(n))
+    part = lambda side, n: counted.where("words > 0").select("lang", F.col("phrase").alias(side), F.col("n").alias(n))
     # A part of a frequent phrase is as frequent, so inner joins lose no candidate.
     joined = cut.join(part("left", "l"), ["lang", "left"]).join(part("right", "r"), ["lang", "right"])
     wide = {c: F.col(c).cast("decimal(38,0)") for c in ("a", "l", "r")}
@@ -159,11 +224,10 @@ def scored(counted: DataFrame, mining: Mining) -> DataFrame:
 
 def mine(documents: DataFrame, mining: Mining = Mining()) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's best phrases."""
-    cut = pieces(documents, mining)
-    words = stage_table(word_counts(cut), "phrase-words")
-    counted = stage_table(flows(edges(cut, frequent_bits(words, mining), mining), mining), "phrase-flows")
+    rows = prepared(documents)
+    counted = stage_table(flows(edges(rows, frequent_pairs(rows, mining), mining), mining), "phrase-flows")
     kept = scored(counted, mining).join(compacted(counted, mining), ["lang", "phrase"], "left_anti")
     best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = kept.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= mining.top)
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
+    totals = counted.where("words = 0").select("lang", "n")
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")

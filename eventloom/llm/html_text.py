@@ -202,7 +202,7 @@ class Suffixes:
     def __init__(self, texts: list[str]):
         self.words = [text.split(" ") for text in texts]
         tokens = [token for words in self.words for token in ("", *words)] + [""]  # a mark at every block's ends
-        keys = pd.util.hash_array(np.array(tokens, object)).astype(np.uint64)
+        keys = pd.util.hash_array(np.array(tokens, object), categorize=False).astype(np.uint64)
         half = 1
         while half < DEPTH and len(keys) > half:
             keys = _mixed(keys[:-half], keys[half:])
