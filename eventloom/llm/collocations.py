@@ -5,10 +5,11 @@ Edges are the longest grams: at every word, it and the words that follow it in i
 that leads nowhere. The count of any shorter phrase is the flow out of its node: the edges that
 begin with it, plus the shorter ones that end on it.
 
-Rare pairs of words end their edges too, as no frequent phrase goes across one; this changes no
-flow of a frequent phrase, and leaves few edges to shuffle. Pairs are counted by hash for that. A
-bitmap of fixed size (``bitmap_bits``) says which hashes are frequent; where two pairs meet on a
-bit, a rare one stays and is left out once its phrases are counted.
+A gram that is rare ends its edge too, as no frequent phrase begins with it; this changes no flow
+of a frequent phrase, and leaves few edges to shuffle. Grams are counted by hash for that, pairs
+first, then from level to level those whose parts are frequent. A bitmap of fixed size a level
+(``bitmap_bits``) says which hashes are frequent; where two grams meet on a bit, a rare one stays
+and is left out once its phrases are counted.
 
 A node through which a great enough share of its flow passes along one edge, all of it if the path
 is unary, is compacted into that edge and is no phrase of its own; as no phrase is longer than an
@@ -52,7 +53,7 @@ class Mining:
     min_count: int = 10
     absorbed_percent: int = 50  # share of a phrase's count that makes a longer phrase stand for it
     top: int = 2000  # phrases of a language
-    bitmap_bits: int = 24  # 2 to that power of bits: 2 MB
+    bitmap_bits: int = 24  # 2 to that power of bits a level: 2 MB
 
     def __post_init__(self):
         if not 2 <= self.min_words <= self.max_words:
@@ -96,16 +97,30 @@ class Words:
         pairs = (pairs ^ (pairs >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
         self.pairs = pairs ^ (pairs >> np.uint64(29))
 
-    def grams(self, bits: np.ndarray, max_words: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(grams, counts): at every word the longest gram of frequent pairs."""
-        place = self.pairs & np.uint64(len(bits) * 64 - 1)
-        goes_on = self.joined & (bits[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
+    def levels(self, bitmaps: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(hashes, may be frequent) of the pairs, triples and so on at every place: one level more than ``bitmaps``.
+
+        Of the last level those are named whose parts may be frequent.
+        """
+        hashes, able = self.pairs, self.joined
+        for bits in bitmaps:
+            place = hashes & np.uint64(len(bits) * 64 - 1)
+            able = able & (bits[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
+            yield hashes, able
+            hashes = hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ hashes[1:]
+            hashes = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+            able = able[:-1] & able[1:]
+        yield hashes, able
+
+    def grams(self, bitmaps: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(grams, counts): at every word the longest gram that may be frequent."""
+        goes_on = [able for _, able in self.levels(bitmaps)][:-1]
         starts = np.flatnonzero(self.is_word)
-        for k in range(1, max_words + 1):
+        for k in range(1, len(bitmaps) + 2):
             longer = np.zeros(len(starts), bool)
-            if k < max_words:
-                inside = starts + k - 1 < len(goes_on)
-                longer[inside] = goes_on[starts[inside] + k - 1]
+            if k <= len(goes_on):
+                inside = starts < len(goes_on[k - 1])
+                longer[inside] = goes_on[k - 1][starts[inside]]
             own = starts[~longer]
             starts = starts[longer]
             if not len(own):
@@ -125,17 +140,25 @@ def prepared(documents: DataFrame, text_col: str = "text", lang_col: str = "lang
     return documents.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), text.alias("text"))
 
 
-def frequent_pairs(rows: DataFrame, mining: Mining) -> np.ndarray:
-    """A bitmap, 64 bits in a number, of the hashes of pairs of words that may be frequent."""
+def frequent_grams(rows: DataFrame, mining: Mining) -> list[np.ndarray]:
+    """Of each level from pairs on a bitmap, 64 bits in a number, of the hashes that may be frequent."""
+    bitmaps: list[np.ndarray] = []
+    for _ in range(2, mining.max_words + 1):
+        bitmaps.append(_frequent(rows, bitmaps, mining))
+    return bitmaps
+
+
+def _frequent(rows: DataFrame, bitmaps: list[np.ndarray], mining: Mining) -> np.ndarray:
+    shared = rows.sparkSession.sparkContext.broadcast(bitmaps)  # of a fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, text in slices(batches):
-            words = Words(lang, text)
-            pairs, n = np.unique(words.pairs[words.joined], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs.view(np.int64)), pa.array(n)], names=["pair", "n"])
+            *_, (hashes, able) = Words(lang, text).levels(shared.value)
+            grams, n = np.unique(hashes[able], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(n)], names=["gram", "n"])
 
-    counted = rows.mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
-    bit = F.col("pair").bitwiseAND(F.lit((1 << mining.bitmap_bits) - 1)).alias("bit")
+    counted = rows.mapInArrow(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
+    bit = F.col("gram").bitwiseAND(F.lit((1 << mining.bitmap_bits) - 1)).alias("bit")
     frequent = counted.where(F.col("n") >= mining.min_count).select(bit)
     one = F.expr("shiftleft(1L, cast(bit & 63 as int))")
     held = frequent.groupBy(F.shiftright("bit", 6).alias("place")).agg(F.bit_or(one).alias("bits")).toArrow()
@@ -144,14 +167,13 @@ def frequent_pairs(rows: DataFrame, mining: Mining) -> np.ndarray:
     return bits.view(np.uint64)
 
 
-def edges(rows: DataFrame, bits: np.ndarray, mining: Mining) -> DataFrame:
-    """(lang, gram, n): how often each longest gram of frequent pairs occurs."""
-    shared = rows.sparkSession.sparkContext.broadcast(bits)  # of a fixed size
-    max_words = mining.max_words
+def edges(rows: DataFrame, bitmaps: list[np.ndarray]) -> DataFrame:
+    """(lang, gram, n): how often each longest gram occurs."""
+    shared = rows.sparkSession.sparkContext.broadcast(bitmaps)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, text in slices(batches):
-            for gram, n in Words(lang, text).grams(shared.value, max_words):
+            for gram, n in Words(lang, text).grams(shared.value):
                 langs = pa.array([lang], pa.string()).take(pa.array(np.zeros(len(gram), np.int32)))
                 yield pa.RecordBatch.from_arrays([langs, pa.array(gram, pa.string()), pa.array(n)], names=["lang", "gram", "n"])
 
@@ -225,7 +247,7 @@ def scored(counted: DataFrame, mining: Mining) -> DataFrame:
 def mine(documents: DataFrame, mining: Mining = Mining()) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's best phrases."""
     rows = prepared(documents)
-    counted = stage_table(flows(edges(rows, frequent_pairs(rows, mining), mining), mining), "phrase-flows")
+    counted = stage_table(flows(edges(rows, frequent_grams(rows, mining)), mining), "phrase-flows")
     kept = scored(counted, mining).join(compacted(counted, mining), ["lang", "phrase"], "left_anti")
     best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = kept.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= mining.top)
