@@ -112,14 +112,27 @@ def cumulate_windows(
 
 
 def running_total_per_window(
-    df: DataFrame, key: str, ts: str, width: str, value: str | None = None, out: str = "total"
+    df: DataFrame,
+    key: str,
+    ts: str,
+    width: str,
+    value: str | None = None,
+    out: str = "total",
+    order: list[str] | None = None,
 ) -> DataFrame:
-    """The per-key running total as it stands at the end of each window.
+    """The largest running total per key within each window.
 
-    The same as the largest running total within the window, since totals of
-    non-negative values only grow, but events are added up per window first. A negative
-    value fails the job, as the two would differ.
+    Without ``order`` values must not be negative: totals then only grow, so the largest is the
+    last, and events are added up per window first. A negative value fails the job, as the
+    order of events in the window would count. With ``order``, the columns that order events of
+    one time, any value is taken: there is a running total at each event.
     """
+    if order is not None:
+        steps = df if value is not None else df.withColumn("_one", F.lit(1).cast("bigint"))
+        kept = list(dict.fromkeys([key, ts, *order, value or "_one"]))
+        totals = running_total(steps.where(F.col(ts).isNotNull()).select(*kept), [key], [ts, *order], value or "_one", "_total")
+        largest = totals.groupBy(tumbling(ts, width).alias("window"), key).agg(F.max("_total").alias(out))
+        return largest.select(F.col("window.start").alias("window_start"), key, out)
     if value is None:
         per_window = window_counts(df, key, ts, width)
     else:

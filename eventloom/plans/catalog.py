@@ -11,7 +11,8 @@ from eventloom.functions.strings import key_label, split_whitespace
 from eventloom.operators import flatten, joins, lookup, ordered, parse, relational, windows
 from eventloom.plans import derive, jobs
 from eventloom.session import scratch_path
-from eventloom.sources import keyword_rows, read_folder, read_lines, stream_lines
+from eventloom.sources import keyword_rows, read_folder, read_lines, read_positions, stream_lines
+from eventloom.streaming.keyed_table import KeyedTable
 from eventloom.streaming.sinks import run_to_end
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +82,19 @@ def delimited_parse(spark, folder):
     return parse.parse_delimited(lines, schema)
 
 
+def content_running(spark, folder):
+    """A content log in order of its lines: one total per record and type."""
+    lines = derive.numbered_content_lines(table(spark, folder, "lineitem"))
+    log = read_positions(spark, _text_folder(lines, "content-log"))
+    docs = parse.good_rows(parse.parse_json(log, f"id string, {jobs.CONTENT_SCHEMA}"))
+    keep = ["file_path", "line", "id"]
+    rows = flatten.explode_two_levels(docs.withColumn("id", F.col("doc.id")), "doc.ZT_content", "ZT_leaf_video", "ctype", "ctype", keep)
+    # Of one line's types each comes once, so file, line and type are an order.
+    typed = flatten.nonempty(rows, "ctype")
+    totals = ordered.running_total(typed, ["ctype"], ["file_path", "line"], "n")
+    return totals.select("id", "ctype", "total")
+
+
 def sql_group_count(spark, folder):
     return relational.group_count(table(spark, folder, "orders"), "o_custkey", "o_orderdate")
 
@@ -145,6 +159,27 @@ def running_reduce(spark, folder):
     return totals.select("event_id", "event_type", "total")
 
 
+def running_maximum(spark, folder):
+    events = table(spark, folder, "events").select("event_id", "ts", "event_type", "value")
+    return ordered.running_reduce(
+        events, ["event_type"], ["ts", "event_id"], "value", lambda a, b: F.greatest(a, b), "highest"
+    ).select("event_id", "event_type", "highest")
+
+
+def last_known(spark, folder):
+    clicked = F.when(F.col("event_type") == "click", F.col("event_id")).alias("clicked")
+    events = table(spark, folder, "events").select("event_id", "ts", "user_id", clicked)
+    return ordered.running_reduce(
+        events, ["user_id"], ["ts", "event_id"], "clicked", lambda a, b: F.coalesce(b, a), "last_click"
+    ).select("event_id", "user_id", "last_click")
+
+
+def running_total_signed(spark, folder):
+    change = (F.col("user_id") % 7 - 3).alias("change")
+    events = table(spark, folder, "events").select("event_id", "ts", "event_type", change)
+    return windows.running_total_per_window(events, "event_type", "ts", "1 hour", "change", order=["event_id"])
+
+
 def window_max_by(spark, folder):
     return windows.window_max_by(
         table(spark, folder, "events"), "event_type", "ts", "1 hour", "value", ["ts", "event_id"]
@@ -297,6 +332,20 @@ def dirty_upsert(spark, folder):
     return lookup.upsert(base, changes, "key", "value", "seq")
 
 
+def dirty_write_back(spark, folder):
+    """Changes in eight batches, one of them repeated, two of the merges in between."""
+    base = table(spark, folder, "customer").select(F.col("c_custkey").alias("key"), F.col("c_acctbal").alias("value"))
+    changes = table(spark, folder, "events").select(
+        F.col("user_id").alias("key"), "value", F.col("event_id").alias("seq"), (F.col("value") > 50).alias("is_updated")
+    )
+    store = KeyedTable(spark, scratch_path(spark, "keyed"), "key", "value", "seq").create(base)
+    for batch_id in (0, 1, 2, 2, 3, 4, 5, 6, 7):
+        store.write_back(changes.where(F.col("seq") % 8 == batch_id), batch_id)
+        if batch_id in (3, 5):
+            store.compact()
+    return store.read()
+
+
 def recent_keys_topn(spark, folder):
     return lookup.recent_keys(table(spark, folder, "events"), "user_id", "event_id", 20)
 
@@ -310,6 +359,7 @@ QUERIES: dict[str, Query] = {
         line_passthrough,
         keyword_sequence,
         delimited_parse,
+        content_running,
         sql_group_count,
         sql_topk,
         json_parse,
@@ -320,6 +370,9 @@ QUERIES: dict[str, Query] = {
         tokenize,
         windowed_word_count,
         running_reduce,
+        running_maximum,
+        last_known,
+        running_total_signed,
         window_max_by,
         running_total_per_window,
         cumulative_window_count,
@@ -338,6 +391,7 @@ QUERIES: dict[str, Query] = {
         lookup_hit_rate,
         lookup_backfill,
         dirty_upsert,
+        dirty_write_back,
         recent_keys_topn,
     )
 }

@@ -49,6 +49,21 @@ def content_lines(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def numbered_content_lines(lineitem: DataFrame) -> DataFrame:
+    """A content log in order of its line items, in as many files as there are partitions.
+
+    Every line has the types flag and line number, an empty one and its own ``id``.
+    """
+    line = F.concat(
+        F.lit('{"id":"'), F.col("l_orderkey"), F.lit("-"), F.col("l_linenumber"),
+        F.lit('","ZT_content":[{"ZT_leaf_video":[{"ctype":"'), F.col("l_returnflag"), F.lit('"},{"ctype":'),
+        F.col("l_linenumber").cast("string"), F.lit('}]},{"ZT_leaf_video":[{"ctype":""}]}]}'),
+    )
+    place = ["l_orderkey", "l_linenumber", "l_returnflag"]
+    lines = lineitem.select(*place, line.alias("value"))
+    return lines.repartitionByRange(*place).sortWithinPartitions(*place).select("value")
+
+
 def page_lines(events: DataFrame) -> DataFrame:
     """Events as page log: views are navigation, clicks are pages, the rest is neither.
 

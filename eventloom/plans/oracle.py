@@ -85,6 +85,31 @@ ORACLE: dict[str, str] = {
                 range between unbounded preceding and current row) as running
             from ({_CTYPES}) where ctype <> '')
         group by window_start, ctype""",
+    "content_running": """
+        select l_orderkey || '-' || l_linenumber as id, ctype, count(*) over (
+            partition by ctype order by l_orderkey, l_linenumber, l_returnflag
+            rows between unbounded preceding and current row) as total
+        from (select l_orderkey, l_linenumber, l_returnflag,
+                     unnest([l_returnflag, cast(l_linenumber as varchar)]) as ctype from lineitem)""",
+    "running_maximum": """
+        select event_id, event_type, max(value) over (
+            partition by event_type order by ts, event_id
+            rows between unbounded preceding and current row) as highest
+        from events""",
+    "last_known": """
+        select event_id, user_id,
+               last_value(case when event_type = 'click' then event_id end ignore nulls) over (
+                   partition by user_id order by ts, event_id
+                   rows between unbounded preceding and current row) as last_click
+        from events""",
+    "running_total_signed": """
+        select date_trunc('hour', ts) as window_start, event_type,
+               cast(max(running) as bigint) as total from (
+            select ts, event_type, sum(user_id % 7 - 3) over (
+                partition by event_type order by ts, event_id
+                rows between unbounded preceding and current row) as running
+            from events)
+        group by window_start, event_type""",
     "tokenize": f"select doc_id, word, 1 as n from ({_WORDS.format(columns='doc_id')})",
     "windowed_word_count": f"""
         select time_bucket(interval 5 seconds, timestamp '2024-01-01' + to_seconds(doc_id))
@@ -197,6 +222,13 @@ ORACLE: dict[str, str] = {
                 union all
                 select user_id, value, event_id from events where value > 50))
         where place = 1""",
+    "dirty_write_back": """
+        select key, value from (
+            select *, row_number() over (partition by key order by seq desc) as place from (
+                select c_custkey as key, c_acctbal as value, -1 as seq from customer
+                union all
+                select user_id, value, event_id from events where value > 50))
+        where place = 1""",
     "recent_keys_topn": """
         select user_id, max(event_id) as last_seq from events group by user_id
         order by last_seq desc, user_id limit 20""",

@@ -2,15 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from eventloom.session import stage_table
+
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """One row per line: ``value string``."""
     return spark.read.text(path)
 
 
+def read_positions(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with their place: ``value, file_path, line`` (from 0 in each file).
+
+    A file is read in blocks, by as many tasks as it has blocks. A line's place is its place in the
+    block plus the lines of the file's earlier blocks; only one row a block is added up in order.
+    Lines are staged once with the number the scan gave them, as a second scan could cut
+    files into other blocks.
+    """
+    meta = F.col("_metadata")
+    scanned = spark.read.text(path).select(
+        "value",
+        meta.file_path.alias("file_path"),
+        meta.file_block_start.alias("_start"),
+        F.monotonically_increasing_id().alias("_id"),
+    )
+    lines = stage_table(scanned, "lines")
+    blocks = lines.groupBy("file_path", "_start").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("file_path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    begins = blocks.select(
+        "file_path", "_start", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift")
+    )
+    placed = lines.join(begins, ["file_path", "_start"])
+    return placed.select("value", "file_path", (F.col("_id") + F.col("_shift")).alias("line"))
+
+
 def read_folder(spark: SparkSession, folder: str) -> DataFrame:
     """Lines of the files directly in ``folder`` (no sub-folders), with their file.
 
