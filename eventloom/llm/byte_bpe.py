@@ -22,7 +22,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from collections.abc import Iterator
+import itertools
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,7 +45,7 @@ P1, P2 = 2_147_483_647, 2_147_483_629
 C1, C2 = 1_597_334_677, 1_181_783_497
 PLACES = 1024  # a word's places fit below it
 LONG = 256
-SET = 1 << 20  # distinct words a scan task holds before it hands them on
+SET = 1 << 20  # distinct chunks a task holds at most
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -181,6 +182,21 @@ def word_pattern(pattern: str) -> regex.Pattern:
     return regex.compile(pattern.replace(r"[^\s", f"[^{WHITE}").replace(r"\s", f"[{WHITE}]").replace(r"\S", f"[^{WHITE}]"))
 
 
+def chunks(text: str) -> list[str]:
+    """``text`` cut before single blanks, where no word of a byte-level pattern goes across.
+
+    A blank next to other white space stays inside its chunk.
+    """
+    first, *rest = text.split(" ")
+    out = [first]
+    for part in rest:
+        if part and not part[0].isspace() and out[-1] and not out[-1][-1].isspace():
+            out.append(" " + part)
+        else:
+            out[-1] += " " + part
+    return out
+
+
 def words_by_task(texts: DataFrame, pattern: str) -> DataFrame:
     """(word, task): the words of up to ``LONG`` bytes of each scan task's texts, mostly once each."""
 
@@ -188,7 +204,8 @@ def words_by_task(texts: DataFrame, pattern: str) -> DataFrame:
         task, find = TaskContext.get().partitionId(), word_pattern(pattern).findall
         held: set[str] = set()
 
-        def rows(words: set[str]) -> pa.RecordBatch:
+        def rows(found: set[str]) -> pa.RecordBatch:
+            words = set(itertools.chain.from_iterable(map(find, found)))
             short = [w for w in words if len(w) <= LONG and len(w.encode()) <= LONG]
             return pa.RecordBatch.from_arrays(
                 [pa.array(short, pa.string()), pa.array(np.full(len(short), task, np.int32))], names=["word", "task"]
@@ -196,7 +213,7 @@ def words_by_task(texts: DataFrame, pattern: str) -> DataFrame:
 
         for batch in batches:
             for text in batch.column(0):
-                held.update(find(text.as_py() or ""))
+                held.update(chunks(text.as_py() or ""))
                 if len(held) >= SET:
                     yield rows(held)
                     held = set()
@@ -237,6 +254,22 @@ class KnownWords(dict):
         return self
 
 
+class ChunkIds(dict):
+    """Chunk to the ids of its words as bytes; short chunks are kept, ``SET`` at most at a time."""
+
+    def __init__(self, words: KnownWords, find: Callable[[str], list[str]]):
+        super().__init__()
+        self.words, self.find = words, find
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = b"".join(map(self.words.__getitem__, self.find(chunk)))
+        if len(chunk) <= 64:
+            if len(self) >= SET:
+                self.clear()
+            self[chunk] = ids
+        return ids
+
+
 def encode(
     documents: DataFrame, ranks: dict[bytes, int], pattern: str, keep: dict[str, Column], text_col: str = "text"
 ) -> DataFrame:
@@ -251,9 +284,9 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = KnownWords(shared.value).read(f"{folder}/task={TaskContext.get().partitionId()}")
-        find = word_pattern(pattern).findall
+        ids_of = ChunkIds(known, word_pattern(pattern).findall)
         for batch in batches:
-            raw = [b"".join(map(known.__getitem__, find(text.as_py() or ""))) for text in batch.column(batch.num_columns - 1)]
+            raw = [b"".join(map(ids_of.__getitem__, chunks(text.as_py() or ""))) for text in batch.column(batch.num_columns - 1)]
             ends = np.cumsum([0, *map(len, raw)]) // 4
             ids = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(raw), "<i4"))).cast(pa.list_(pa.int32()))
             shas = pa.array([hashlib.sha256(r).hexdigest() for r in raw], pa.string())
