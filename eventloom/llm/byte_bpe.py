@@ -129,18 +129,26 @@ class MergeTable:
         """Ids (array of bigint) of a word of up to ``LONG`` bytes."""
         latin = F.decode(F.encode(word, "utf-8"), "iso-8859-1")  # one character a byte
         first = F.transform(F.split(latin, ""), lambda c: F.get(numbers(self.bytes_ids), F.ascii(c)))
-        state = lambda ids: F.struct(ids.alias("ids"), self._best(ids).alias("best"))
+        # The rank map stands in the expression once: its plan is held by the driver in many places.
+        state = lambda ids, best: F.struct(ids.alias("ids"), best.alias("best"))
+        none, unknown = F.lit(None).cast("bigint"), F.lit(-1).cast("bigint")
+
+        def merge(ids: Column, best: Column) -> Column:
+            place = F.pmod(best, F.lit(PLACES)).cast("int")
+            merged = F.array(F.floor(best / PLACES).cast("bigint"))
+            rest = F.slice(ids, place + 3, F.size(ids))
+            return F.concat(F.slice(ids, F.lit(1), place), merged, rest)
 
         def step(s: Column, _: Column) -> Column:
-            place = F.pmod(s["best"], F.lit(PLACES)).cast("int")
-            merged = F.array(F.floor(s["best"] / PLACES).cast("bigint"))
-            rest = F.slice(s["ids"], place + 3, F.size(s["ids"]))
-            joined = F.concat(F.slice(s["ids"], F.lit(1), place), merged, rest)
-            return F.when(s["best"].isNull(), s).otherwise(let(joined, state))
+            found = let(
+                self._best(s["ids"]),
+                lambda b: F.when(b.isNull(), state(s["ids"], none)).otherwise(state(merge(s["ids"], b), unknown)),
+            )
+            return F.when(s["best"].isNull(), s).otherwise(found)
 
         def run(ids: Column) -> Column:
             steps = F.slice(ids, 2, F.size(ids))  # n - 1 merges at most
-            return F.aggregate(steps, state(ids), step, lambda s: s["ids"])
+            return F.aggregate(steps, state(ids, unknown), step, lambda s: s["ids"])
 
         return let(first, run)
 

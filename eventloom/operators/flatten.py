@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from eventloom.functions.strings import path_stem
 from eventloom.operators.routing import NAV, PAGE, select_route
+from eventloom.operators.watch import Watch, counting
 
 
 def explode_two_levels(
@@ -34,10 +35,16 @@ def _known(any_value: Column) -> Column:
 
 
 def keyed_cards(
-    log: DataFrame, doc: str = "doc", keep: list[str] | None = None, strict: bool = False
+    log: DataFrame,
+    doc: str = "doc",
+    keep: list[str] | None = None,
+    strict: bool = False,
+    watch: Watch | None = None,
 ) -> DataFrame:
     """One row per card of the routed navigation and page records, in one pass.
 
+    ``watch`` counts the cards that are dropped for want of a key, by kind of record.
+
     A navigation card has its own id as ``key``, a page card the page name in the
     header's path; a card without key gives no row. Time and path come from the header,
     whatever the card itself says.
@@ -52,7 +59,12 @@ def keyed_cards(
         F.explode(F.col(f"{doc}.body.cards")).alias("_card"),
     )
     key = F.when(is_page, F.nullif("_page", F.lit(""))).otherwise(F.col("_card.id"))
-    return cards.withColumn("key", key).where(F.col("key").isNotNull()).select(
+    with_key = cards.withColumn("key", key)
+    no_key = F.col("key").isNull()
+    with_key = counting(
+        watch, with_key, "cards", nav_cards_without_id=no_key & ~is_page, page_cards_without_page=no_key & is_page
+    )
+    return with_key.where(F.col("key").isNotNull()).select(
         *(keep or []),
         "route",
         "key",

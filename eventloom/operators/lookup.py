@@ -14,9 +14,11 @@ def enrich(facts: DataFrame, lookup: DataFrame, key: str, values: list[str]) ->
     """Every fact with the looked-up ``values``, null where the key is unknown.
 
     Of rows with the same key in ``lookup`` the one with the smallest values counts, so
-    facts are never multiplied. A streaming ``facts`` is joined batch by batch.
+    facts are never multiplied; one with nulls counts only if there is none without. A
+    streaming ``facts`` is joined batch by batch.
     """
-    held = lookup.groupBy(key).agg(F.min(F.struct(*values)).alias("_held"))
+    nulls = sum((F.col(v).isNull().cast("int") for v in values), F.lit(0))
+    held = lookup.groupBy(key).agg(F.min(F.struct(nulls.alias("_nulls"), *values)).alias("_held"))
     held = held.select(key, *[F.col(f"_held.{v}").alias(v) for v in values])
     return facts.join(held, key, "left")
 

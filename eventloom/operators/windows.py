@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from eventloom.operators.ordered import running_total
 
@@ -71,12 +72,17 @@ def window_max_by(
     Any type that can be ordered; NaN is above all numbers, as in Spark's order. Rows with a
     null ``value`` are left out.
     """
-    kept = [c for c in [value, *order, *(keep or [])] if c not in (key,)]
-    kept = list(dict.fromkeys(kept))
+    kept = list(dict.fromkeys(c for c in [value, *order, *(keep or [])] if c != key))
+    rows = df.where(F.col(value).isNotNull() & F.col(ts).isNotNull())
+    if not df.isStreaming:
+        # Each task keeps its best row of a group before the shuffle; one sort, no struct to aggregate.
+        placed = rows.withColumn("_start", tumbling(ts, width)["start"])
+        best = Window.partitionBy("_start", key).orderBy(F.desc(value), *order)
+        first = placed.withColumn("_place", F.row_number().over(best)).where("_place = 1")
+        return first.select(F.col("_start").alias("window_start"), key, *kept)
     # Equal values first, so that the second step has no ties.
     first = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(tumbling(ts, width).alias("window"), key, F.col(value).alias("_value"))
+        rows.groupBy(tumbling(ts, width).alias("window"), key, F.col(value).alias("_value"))
         .agg(F.min_by(F.struct(*kept), F.struct(*order)).alias("first"))
     )
     best = first.groupBy("window", key).agg(F.max_by("first", "_value").alias("best"))

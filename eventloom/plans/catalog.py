@@ -20,8 +20,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The keyword list is an argument of the source; this is the one the query uses.
 KEYWORDS = ("red", "orange", "yellow", "green", "blue", "indigo", "violet", "grey")
 
-# Files of the page log that is read as a stream, in three batches.
-LOG_FILES = 6
+# Ranges of time in which the page log is written that is read as a stream.
+LOG_RANGES = 12
 
 LINE_FIELDS = {
     "l_orderkey": "bigint",
@@ -252,12 +252,34 @@ def page_cogroup(spark, folder):
     return jobs.cogroup_pages(derive.page_lines(table(spark, folder, "events")), "1 day")
 
 
+def _log_in_time(events: DataFrame, ranges: int) -> tuple[str, int]:
+    """A page log as a collector leaves it, the files of one range of time after those of another,
+    and the length of a range in seconds: no row of a file is older by more than that than one before."""
+    spark = events.sparkSession
+    path = scratch_path(spark, "page-log")
+    first, last = events.select(*[F.unix_seconds(f("ts").cast("timestamp")) for f in (F.min, F.max)]).first()
+    first, last = first or 0, last or 0
+    length = (last - first) // ranges + 1
+    number = F.floor((F.unix_seconds(F.col("ts").cast("timestamp")) - first) / length)
+    for i in range(ranges):  # one after the other, since a stream takes files by their time of writing
+        own = events.where(F.coalesce(number, F.lit(0)) == i)
+        derive.page_lines(own).select("value").write.mode("append").text(path)
+    return path, length
+
+
 def page_join_stream(spark, folder):
-    # The files hold the month's events in no order, so the delay covers the month.
-    events = table(spark, folder, "events").repartition(LOG_FILES)
-    path = _text_folder(derive.page_lines(events), "page-log")
-    lines = stream_lines(spark, path, files_per_trigger=LOG_FILES // 3)
-    return run_to_end(jobs.join_pages(lines, "1 day", delay="31 days", salts=4), "page-join")
+    path, length = _log_in_time(table(spark, folder, "events"), LOG_RANGES)
+    lines = stream_lines(spark, path, files_per_trigger=LOG_RANGES // 3)
+    joined = jobs.join_pages(lines, "1 day", delay=f"{length} seconds", salts=4)
+    return run_to_end(joined, "page-join", refuse_late=True)
+
+
+def dropped_records(spark, folder):
+    watch = Watch()
+    log = derive.page_lines(table(spark, folder, "events"))
+    jobs.page_cards(log, watch=watch).write.format("noop").mode("overwrite").save()
+    counts = sorted(watch.counts().items())
+    return spark.createDataFrame(counts, "what string, n bigint")
 
 
 def _views_and_clicks(spark, folder, *columns):
@@ -384,6 +406,7 @@ QUERIES: dict[str, Query] = {
         page_join,
         page_cogroup,
         page_join_stream,
+        dropped_records,
         window_join,
         window_cogroup,
         delimiter_segments,

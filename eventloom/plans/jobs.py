@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.functions.strings import key_label, split_whitespace
+from eventloom.functions.strings import key_label, path_stem, split_whitespace
 from eventloom.operators.flatten import explode_two_levels, keyed_cards, nonempty
 from eventloom.operators.joins import cogroup_tagged, window_join
 from eventloom.operators.parse import good_rows, parse_delimited, parse_json
 from eventloom.operators.relational import run_sql
-from eventloom.operators.routing import NAV, PAGE, add_route, select_route
+from eventloom.operators.routing import NAV, NULL_TYPE, PAGE, add_route, select_route
+from eventloom.operators.watch import Watch, counting
 from eventloom.operators.windows import (
     cumulative_window_count,
     running_total_per_window,
@@ -80,23 +81,40 @@ def word_counts(lines: DataFrame, ts: str = "ts", width: str = "5 seconds") -> D
     return windowed_sum(words, "word", ts, width, "n")
 
 
-def page_log(lines: DataFrame, strict: bool = False) -> DataFrame:
-    """Parsed and routed navigation and page records."""
-    return add_route(parse_json(lines, PAGE_LOG_SCHEMA, strict=strict))
+def page_log(lines: DataFrame, strict: bool = False, watch: Watch | None = None) -> DataFrame:
+    """Parsed and routed navigation and page records.
+
+    ``watch`` counts lines, bad lines, records of neither kind and pages without a page name.
+    """
+    log = add_route(parse_json(lines, PAGE_LOG_SCHEMA, strict=strict))
+    no_name = F.coalesce(path_stem(F.col("doc.header.fileContents")), F.lit("")) == ""
+    return counting(
+        watch,
+        log,
+        "lines",
+        lines=F.lit(True),
+        bad_lines=F.col("bad"),
+        records_without_route=~F.col("bad") & (F.col("route") == NULL_TYPE),
+        pages_without_key=(F.col("route") == PAGE) & no_name,
+    )
 
 
 def page_cards(
-    lines: DataFrame, delay: str = "0 seconds", strict: bool = False, ingest_time: bool = False
+    lines: DataFrame,
+    delay: str = "0 seconds",
+    strict: bool = False,
+    ingest_time: bool = False,
+    watch: Watch | None = None,
 ) -> DataFrame:
     """The keyed cards of both record kinds: ``(route, key, ts, source, title)``.
 
     Cards without a usable ``fileTime`` are in no window; with ``ingest_time`` the arrival
-    time counts and none is needed.
+    time counts and none is needed. ``watch`` counts in the same pass what is dropped on the way.
     """
-    cards = keyed_cards(page_log(lines, strict), strict=strict)
-    return with_event_time(cards, "fileTime", delay, out="ts", ingest_time=ingest_time).select(
-        "route", "key", "ts", "source", "title"
-    )
+    cards = keyed_cards(page_log(lines, strict, watch), strict=strict, watch=watch)
+    timed = with_event_time(cards, "fileTime", delay, out="ts", ingest_time=ingest_time)
+    timed = timed.select("route", "key", "ts", "source", "title")
+    return counting(watch, timed, "times", cards_without_time=F.col("ts").isNull())
 
 
 def page_record() -> Column:
@@ -119,14 +137,18 @@ def join_pages(
     delay: str = "0 seconds",
     salts: int = 1,
     ingest_time: bool = False,
+    watch: Watch | None = None,
 ) -> DataFrame:
     """Navigation cards joined with the cards of the page they lead to, as JSON lines.
 
     A table of lines is read and parsed once: the cards are staged by route, and each
     side of the join reads its own. A stream reads its source once per side; ``delay`` has to
-    cover the disorder between the batches, and ``salts`` splits hot pages.
+    cover the disorder between the batches, and ``salts`` splits hot pages. ``watch`` counts what
+    is dropped, on tables only, where the log is read once.
     """
-    cards = page_cards(lines, delay, ingest_time=ingest_time)
+    if watch is not None and lines.isStreaming:
+        raise ValueError("a stream is read once per side: watch page_cards or cogroup_pages instead")
+    cards = page_cards(lines, delay, ingest_time=ingest_time, watch=watch)
     if not lines.isStreaming:
         cards = stage_table(cards, "cards", partition_by="route")
     nav, page = (select_route(cards, side).drop("route") for side in (NAV, PAGE))
@@ -135,8 +157,12 @@ def join_pages(
 
 
 def cogroup_pages(
-    lines: DataFrame, width: str = "5 seconds", delay: str = "0 seconds", ingest_time: bool = False
+    lines: DataFrame,
+    width: str = "5 seconds",
+    delay: str = "0 seconds",
+    ingest_time: bool = False,
+    watch: Watch | None = None,
 ) -> DataFrame:
     """One row per page and window with the number of cards on either side, in one pass."""
-    cards = page_cards(lines, delay, ingest_time=ingest_time)
+    cards = page_cards(lines, delay, ingest_time=ingest_time, watch=watch)
     return cogroup_tagged(cards, "key", "ts", width, is_left=F.col("route") == NAV)

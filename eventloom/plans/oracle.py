@@ -229,6 +229,13 @@ ORACLE: dict[str, str] = {
                 union all
                 select user_id, value, event_id from events where value > 50))
         where place = 1""",
+    "dropped_records": """
+        select unnest(['lines', 'bad_lines', 'records_without_route', 'pages_without_key',
+                       'nav_cards_without_id', 'page_cards_without_page', 'cards_without_time']) as what,
+               unnest([count(*), count(*) filter (event_type not in ('view', 'click', 'signup', 'purchase')),
+                       count(*) filter (event_type in ('signup', 'purchase')), 0,
+                       count(*) filter (event_type = 'view'), 0, 0]) as n
+        from events""",
     "recent_keys_topn": """
         select user_id, max(event_id) as last_seq from events group by user_id
         order by last_seq desc, user_id limit 20""",

@@ -64,12 +64,38 @@ def each_record(
     return _trigger(stream, every).start()
 
 
-def run_to_end(df: DataFrame, name: str) -> DataFrame:
-    """Run a stream over all that its source holds now; the appended rows as a table."""
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came behind the watermark and were dropped by the stateful steps of ``query`` so far.
+
+    A join drops a late row once, on its side. Counted over the progress reports that the
+    session keeps (``spark.sql.streaming.numRecentProgressUpdates``); a report with data in it
+    is made for every batch.
+    """
+    batches = {progress["batchId"]: progress for progress in query.recentProgress}
+    return sum(int(op["numRowsDroppedByWatermark"]) for p in batches.values() for op in p["stateOperators"])
+
+
+def dropped_counts(query: StreamingQuery) -> dict[str, int]:
+    """Sums of the counts that :func:`eventloom.operators.watch.counting` put into a stream."""
+    sums: dict[str, int] = {}
+    for progress in {p["batchId"]: p for p in query.recentProgress}.values():
+        for row in (progress["observedMetrics"] or {}).values():
+            for name, n in (row.asDict() if hasattr(row, "asDict") else dict(row)).items():
+                sums[name] = sums.get(name, 0) + int(n)
+    return sums
+
+
+def run_to_end(df: DataFrame, name: str, refuse_late: bool = False) -> DataFrame:
+    """Run a stream over all that its source holds now; the appended rows as a table.
+
+    ``refuse_late`` fails if rows came behind the watermark, as the result would lack them.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     query = file_sink(df, path, scratch_path(spark, f"{name}-checkpoint"))
     query.awaitTermination()
+    if refuse_late and (late := late_rows(query)):
+        raise RuntimeError(f"{late} rows came later than the stream's delay covers")
     return spark.read.schema(df.schema).parquet(path)
 
 
