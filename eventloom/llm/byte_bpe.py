@@ -1,8 +1,9 @@
 """Byte-level BPE in Spark expressions: a fold of ranked merges over the bytes of distinct words.
 
-The rank map is a literal of the query. A SQL map is searched from its beginning, so it is
-laid out as a perfect hash table: one array of seeds, one of slots. Each fold step merges the
-pair with the lowest rank; a word's fold ends when no pair has one. Every distinct word of the
+The rank map is a literal of the query. A SQL map is searched from its beginning, so it is laid
+out as a matrix of left and right ids whose sparse rows are pushed into one another: one array of
+the rows' offsets, one of entries. Each fold step merges the pair with the lowest rank; a word's
+fold ends when no pair has one. Every distinct word of the
 corpus is folded once.
 
 The ids come back to the texts by scan task: each task names the words of its texts once, the words
@@ -41,9 +42,9 @@ from eventloom.session import scratch_path
 
 # Fixed value: the characters of Unicode's White_Space property.
 WHITE = r"\t-\r \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
-P1, P2 = 2_147_483_647, 2_147_483_629
-C1, C2 = 1_597_334_677, 1_181_783_497
 PLACES = 1024  # a word's places fit below it
+SHIFT = 26
+NONE = 1 << SHIFT  # ranks below 65536 times PLACES
 LONG = 256
 SET = 1 << 20  # distinct chunks a task holds at most
 
@@ -55,41 +56,38 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 @dataclass(frozen=True)
-class PerfectTable:
-    """Seeds and slots so that every key has a slot of its own; ``slot`` is the expression of it."""
+class RowTable:
+    """A sparse matrix in one array: the cell (row, column) is at ``offsets[row] + column``."""
 
-    seeds: list[int]
-    slots: list[int]  # number of the key in each slot, -1: free
-    size: int
+    offsets: list[int]
+    row_at: list[int]  # the row that holds each place, -1: free
 
     @classmethod
-    def build(cls, r1: np.ndarray, r2: np.ndarray) -> PerfectTable:
-        n = len(r1)
-        buckets = max(1, n // 3) | 1
-        size = 1 << max(1, int(n * 1.4).bit_length())
-        groups: list[list[int]] = [[] for _ in range(buckets)]
-        for i, b in enumerate((r1 % buckets).tolist()):
-            groups[b].append(i)
-        a, step = r2.tolist(), (r1 | 1).tolist()
-        seeds, slots = [0] * buckets, [-1] * size
-        for b in sorted(range(buckets), key=lambda b: -len(groups[b])):
-            seed = 0
-            while groups[b]:
-                own = [(a[i] + seed * step[i]) & (size - 1) for i in groups[b]]
-                if len(set(own)) == len(own) and all(slots[s] < 0 for s in own):
-                    for s, i in zip(own, groups[b]):
-                        slots[s] = i
+    def build(cls, rows: dict[int, list[int]], width: int) -> RowTable:
+        """Each row at the first offset where its columns are free, the longest rows first."""
+        free = np.ones(width + sum(map(len, rows.values())), bool)
+        row_at = np.full(len(free), -1, np.int64)
+        offsets, low = [0] * width, 0
+        for row in sorted(rows, key=lambda r: -len(rows[r])):
+            own = np.sort(np.array(rows[row]))
+            while not free[low]:
+                low += 1
+            start = max(0, low - int(own[0]))
+            while True:
+                if (end := start + 2048 + int(own[-1])) > len(free):
+                    free = np.append(free, np.ones(end - len(free), bool))
+                    row_at = np.append(row_at, np.full(end - len(row_at), -1))
+                fits = start + np.flatnonzero(free[start + own[0] : start + own[0] + 2048])
+                for column in own[1:]:
+                    fits = fits[free[fits + column]]
+                if len(fits):
                     break
-                seed += 1
-                if seed > 100_000:
-                    raise ValueError("two keys have the same hashes")
-            seeds[b] = seed
-        return cls(seeds, slots, size)
-
-    def slot(self, r1: Column, r2: Column) -> Column:
-        seeds = numbers(self.seeds)
-        seed = F.get(seeds, (r1 % len(self.seeds)).cast("int"))
-        return (r2 + seed * r1.bitwiseOR(F.lit(1))).bitwiseAND(F.lit(self.size - 1)).cast("int")
+                start += 2048
+            offsets[row] = int(fits[0])
+            free[fits[0] + own] = False
+            row_at[fits[0] + own] = row
+        # Any offset and column together are a place of the array.
+        return cls(offsets, row_at[: max(offsets) + width].tolist() + [-1] * (max(offsets) + width - len(row_at)))
 
 
 def numbers(values: list[int]) -> Column:
@@ -105,25 +103,31 @@ class MergeTable:
             raise ValueError("ranks up to 65535 are supported")
         self.ranks = ranks
         self.bytes_ids = [ranks[bytes([b])] for b in range(256)]
-        pairs = [
-            (ranks[token[:i]] << 16 | ranks[token[i:]], rank)
+        pairs = {
+            (ranks[token[:i]], ranks[token[i:]]): rank
             for token, rank in ranks.items()
             for i in range(1, len(token))
             if token[:i] in ranks and token[i:] in ranks
+        }
+        rows: dict[int, list[int]] = {}
+        for left, right in pairs:
+            rows.setdefault(left, []).append(right)
+        table = RowTable.build(rows, max(ranks.values()) + 1)
+        # left id * NONE + rank * PLACES, so that the left id taken off leaves a number below NONE
+        entries = [
+            left * NONE + pairs[left, i - table.offsets[left]] * PLACES if left >= 0 else NONE << 16
+            for i, left in enumerate(table.row_at)
         ]
-        keys = np.array([k for k, _ in pairs], np.int64)
-        self.table = PerfectTable.build(keys * C1 % P1, keys * C2 % P2)
-        self.entries = numbers([-1 if i < 0 else pairs[i][0] << 16 | pairs[i][1] for i in self.table.slots])
+        self.offsets, self.entries = numbers(table.offsets), numbers(entries)
 
     def _best(self, ids: Column) -> Column:
-        """rank * PLACES + place of the pair to merge next, null if there is none."""
-        keys = F.transform(ids, lambda x, i: x * 65536 + F.get(ids, i + 1))
-        # A slot holds key * 65536 + rank: the difference is a rank only if the key is the same.
-        found = F.transform(
-            keys,
-            lambda k, i: (F.get(self.entries, self.table.slot(k * C1 % P1, k * C2 % P2)) - k * 65536) * PLACES + i,
+        """rank * PLACES + place of the pair to merge next; null or at least ``NONE`` if there is none."""
+        return F.array_min(
+            F.transform(
+                ids,
+                lambda x, i: self.entries[self.offsets[x] + F.get(ids, i + 1)].bitwiseXOR(F.shiftleft(x, SHIFT)) + i,
+            )
         )
-        return F.array_min(F.filter(found, lambda v: (v >= 0) & (v < 65536 * PLACES)))
 
     def fold(self, word: Column) -> Column:
         """Ids (array of bigint) of a word of up to ``LONG`` bytes."""
@@ -134,15 +138,15 @@ class MergeTable:
         none, unknown = F.lit(None).cast("bigint"), F.lit(-1).cast("bigint")
 
         def merge(ids: Column, best: Column) -> Column:
-            place = F.pmod(best, F.lit(PLACES)).cast("int")
-            merged = F.array(F.floor(best / PLACES).cast("bigint"))
+            place = best.bitwiseAND(F.lit(PLACES - 1)).cast("int")
+            merged = F.array(F.shiftright(best, PLACES.bit_length() - 1))
             rest = F.slice(ids, place + 3, F.size(ids))
             return F.concat(F.slice(ids, F.lit(1), place), merged, rest)
 
         def step(s: Column, _: Column) -> Column:
             found = let(
                 self._best(s["ids"]),
-                lambda b: F.when(b.isNull(), state(s["ids"], none)).otherwise(state(merge(s["ids"], b), unknown)),
+                lambda b: F.when(b < NONE, state(merge(s["ids"], b), unknown)).otherwise(state(s["ids"], none)),
             )
             return F.when(s["best"].isNull(), s).otherwise(found)
 
@@ -263,14 +267,18 @@ class KnownWords(dict):
 
 
 class ChunkIds(dict):
-    """Chunk to the ids of its words as bytes; short chunks are kept, ``SET`` at most at a time."""
+    """Chunk to the ids of its words as bytes; short chunks are kept, ``SET`` at most at a time.
+
+    A word that stands alone is the same one word, as byte-level patterns look ahead for white space only.
+    """
 
     def __init__(self, words: KnownWords, find: Callable[[str], list[str]]):
         super().__init__()
         self.words, self.find = words, find
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = b"".join(map(self.words.__getitem__, self.find(chunk)))
+        words = [chunk] if chunk in self.words else self.find(chunk)
+        ids = b"".join(map(self.words.__getitem__, words))
         if len(chunk) <= 64:
             if len(self) >= SET:
                 self.clear()

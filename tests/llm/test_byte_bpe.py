@@ -19,6 +19,7 @@ def test_no_word_goes_across_chunks(seed):
         cut = byte_bpe.chunks(text)
         assert "".join(cut) == text
         assert [w for c in cut for w in find(c)] == find(text)
+        assert all(find(w) == [w] for w in find(text))  # a word alone is one word
 
 
 def test_words_are_folded_once_and_found_by_task(spark, new_folder):
