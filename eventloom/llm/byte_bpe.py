@@ -90,9 +90,9 @@ class RowTable:
         return cls(offsets, row_at[: max(offsets) + width].tolist() + [-1] * (max(offsets) + width - len(row_at)))
 
 
-def numbers(values: list[int]) -> Column:
-    """A literal array: the expression is folded to a constant when the query is planned."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+def numbers(values: list[int | str]) -> Column:
+    """A literal array: the expression is folded to a constant when the query is planned. Empty strings are nulls."""
+    return F.split(F.lit(",".join(map(str, values))), ",").try_cast("array<bigint>")
 
 
 class MergeTable:
@@ -115,7 +115,7 @@ class MergeTable:
         table = RowTable.build(rows, max(ranks.values()) + 1)
         # left id * NONE + rank * PLACES, so that the left id taken off leaves a number below NONE
         entries = [
-            left * NONE + pairs[left, i - table.offsets[left]] * PLACES if left >= 0 else NONE << 16
+            left * NONE + pairs[left, i - table.offsets[left]] * PLACES if left >= 0 else ""
             for i, left in enumerate(table.row_at)
         ]
         self.offsets, self.entries = numbers(table.offsets), numbers(entries)
