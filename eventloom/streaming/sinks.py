@@ -67,7 +67,8 @@ def each_record(
 def late_rows(query: StreamingQuery) -> int:
     """Rows that came behind the watermark and were dropped by the stateful steps of ``query`` so far.
 
-    A join drops a late row once, on its side. Counted over the progress reports that the
+    A join drops a late row once, on its side. A batch drops by the watermark that the batch before it
+    worked with, so a row is kept for one batch longer than the delay says. Counted over the progress reports that the
     session keeps (``spark.sql.streaming.numRecentProgressUpdates``); a report with data in it
     is made for every batch.
     """
