@@ -150,20 +150,21 @@ def _worker_memory() -> dict:
 class PieceEncoder:
     """Ids of texts; each distinct piece is encoded by the library once while it is remembered.
 
+    Up to ``remember`` pieces of up to ``longest`` characters are remembered. The strings of added
+    tokens are those tokens, as is the library's default; a cut is never inside one without white space.
     A text is cut before each white space that follows another character: no token of a
     byte-level pre-tokeniser spans such a place, and what it does on either side does not
     depend on the other. Texts with white space beyond ASCII are a piece of their own.
     """
 
-    def __init__(self, tokenizer_json: str, remember: int = 600_000):
+    def __init__(self, tokenizer_json: str, remember: int = 600_000, longest: int = 64):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         own = hashlib.md5(tokenizer_json.encode()).hexdigest()
         self.known: dict[str, bytes] = _worker_memory().setdefault(own, {})
-        self.remember = remember
+        self.remember, self.longest = remember, longest
 
     def cut(self, texts: pa.StringArray) -> tuple[pa.LargeStringArray, np.ndarray]:
         """Pieces, which share the texts' memory, and each text's number of pieces."""
@@ -191,28 +192,23 @@ class PieceEncoder:
         words = flat.dictionary.to_pylist()
         if len(self.known) > self.remember:
             self.known.clear()
-        known = self.known
-        new = [w for w in words if w not in known]
+        known = dict(zip(words, map(self.known.get, words)))  # of this call
+        new = [w for w, ids in known.items() if ids is None]
         for i in range(0, len(new), 20_000):
             part = new[i : i + 20_000]
             for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
                 known[w] = array("I", e.ids).tobytes()
-        coded = [known[w] for w in words]
-        sizes = np.fromiter(map(len, coded), np.int32, len(coded)) // 4
-        pool = np.frombuffer(b"".join(coded), np.uint32)
-        starts = np.cumsum(sizes) - sizes
-        which = flat.indices.to_numpy()
-        counts = sizes[which]
+                if len(w) <= self.longest:
+                    self.known[w] = known[w]
         # The end of a text is a piece of one id of its own.
+        coded = [*known.values(), array("I", [end_id]).tobytes()]
+        bounds = np.cumsum(np.fromiter(map(len, [b"", *coded]), np.int64, len(coded) + 1)) // 4
+        lists = pa.LargeListArray.from_arrays(pa.array(bounds), pa.array(np.frombuffer(b"".join(coded), np.uint32)))
         ends = np.cumsum(per_text)
-        counts = np.insert(counts, ends, 1)
-        first = np.insert(starts[which], ends, len(pool))
-        before = np.cumsum(counts) - counts
-        where = np.repeat(first - before, counts)
-        where += np.arange(len(where))
-        ids = np.append(pool, np.uint32(end_id))[where]
-        bounds = np.append(before, len(where))[np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])]
-        return np.diff(bounds), ids
+        which = np.insert(flat.indices.to_numpy(), ends, len(words))
+        out = lists.take(pa.array(which))
+        counts = np.diff(out.offsets.to_numpy()[np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])])
+        return counts, out.values.to_numpy()
 
 
 def write_shards(

@@ -227,7 +227,6 @@ def test_token_files(spark, odd, documents):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     expected, start = Counter(), 0
     for i, t in sorted(documents, key=lambda d: (d[0] is not None, d[0] or 0, d[1] or "")):
         ids = np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 0], "<u4")
