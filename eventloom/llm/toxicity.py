@@ -3,18 +3,19 @@
 The JVM splits and hashes words; n-grams are made from the hashes with array arithmetic. The
 model is trained by workers on disjoint parts of the labelled sample; after each pass their
 per-coordinate sums, whose size the model bounds, are averaged on Spark in blocks of coordinates,
-so the driver gets one array a pass, however many workers there are. L1 leaves few weights, which
+so the driver gets one array a pass. A row's worker is a hash of its id and a worker takes its
+rows in one order, so neither file splits nor cores change a weight. L1 leaves few weights, which
 is what is broadcast.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +29,10 @@ MOVES = "block int, worker int, at binary, dz binary, dn binary"
 
 @dataclass(frozen=True)
 class Settings:
-    """``max_rows`` bounds the labelled sample; ``bits`` the weights (2 ** bits at most)."""
+    """``max_rows`` bounds the labelled sample; ``bits`` the weights (2 ** bits at most).
+
+    ``workers`` is part of the model, as their moves are averaged.
+    """
 
     max_rows: int = 60_000
     bits: int = 20
@@ -90,8 +94,8 @@ def _pass(batches: Iterator[pa.RecordBatch], z: np.ndarray, n: np.ndarray, s: Se
     """One row after the other: predict, then move each present coordinate at its own rate."""
     bias = 1 << s.bits
     for batch in batches:
-        labels = batch.column(0).to_numpy(zero_copy_only=False)
-        codes, offsets = _lists(batch.column(1))
+        labels = batch.column("label").to_numpy(zero_copy_only=False)
+        codes, offsets = _lists(batch.column("codes"))
         for i, label in enumerate(labels):
             part = codes[offsets[i] : offsets[i + 1]]
             x = np.append(np.unique(features(part, np.array([0, len(part)]), s.bits)[1]), bias)
@@ -155,11 +159,24 @@ def sample_labels(labels: DataFrame, s: Settings, id_col: str = "doc_id", label_
 
 
 def fit(documents: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:
-    """Train on the documents that ``labels`` marks. No labels: all weights are 0."""
+    """Train on the documents that ``labels`` marks. No labels: all weights are 0.
+
+    Rows that share an id are all learned from, one after the other; an id that a labelled row
+    repeats has its larger label. Null and empty texts move the bias alone.
+    """
     marks = F.broadcast(sample_labels(labels, s, id_col))  # max_rows rows of two numbers
     texts = documents.select(F.col(id_col).alias("_id"), whole_text(text_col).alias("text"))
-    rows = texts.join(marks, "_id").select("label", word_codes(F.col("text")).alias("codes"), F.xxhash64("_id").alias("h"))
-    rows = stage_table(rows.repartition(s.workers, "h").sortWithinPartitions("h").select("label", "codes"), "toxicity-sample")
+    h = F.xxhash64("_id")
+    rows = texts.join(marks, "_id").select(
+        F.pmod(h, F.lit(s.workers)).cast("int").alias("worker"),
+        h.alias("h"),
+        F.xxhash64("text").alias("t"),
+        "label",
+        word_codes(F.col("text")).alias("codes"),
+    )
+    rows = stage_table(rows, "toxicity-sample")
+    # A worker's rows go into one partition and stay in this order when they are grouped.
+    rows = rows.repartition(s.workers, "worker").sortWithinPartitions("worker", "h", "t")
     size = (1 << s.bits) + 1
     z, n = np.zeros(size), np.zeros(size)
     context = documents.sparkSession.sparkContext
@@ -167,13 +184,14 @@ def fit(documents: DataFrame, labels: DataFrame, s: Settings = Settings(), id_co
         state = context.broadcast((z.astype(np.float32), n.astype(np.float32)))
 
         def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            first = next(batches)
             own_z, own_n = (x.astype(np.float64) for x in state.value)
             before = own_n.copy()
-            _pass(batches, own_z, own_n, s)
-            yield from _moves(TaskContext.get().partitionId(), own_z - state.value[0], own_n - before)
+            _pass(itertools.chain([first], batches), own_z, own_n, s)
+            yield from _moves(first.column("worker")[0].as_py(), own_z - state.value[0], own_n - before)
 
         # Each worker starts from the same sums; what those that met a coordinate add is averaged.
-        for move in averaged(rows.mapInArrow(train, MOVES)).collect():  # 2 ** bits * 8 bytes
+        for move in averaged(rows.groupBy("worker").applyInArrow(train, MOVES)).collect():  # 2 ** bits * 8 bytes
             first = move["block"] << BLOCK_BITS
             z[first : first + (1 << BLOCK_BITS)] += np.frombuffer(move["dz"], np.float32)[: size - first]
             n[first : first + (1 << BLOCK_BITS)] += np.frombuffer(move["dn"], np.float32)[: size - first]
