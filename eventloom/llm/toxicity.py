@@ -31,17 +31,19 @@ MOVES = "block int, worker int, at binary, dz binary, dn binary"
 class Settings:
     """``max_rows`` bounds the labelled sample; ``bits`` the weights (2 ** bits at most).
 
-    ``workers`` is part of the model, as their moves are averaged.
+    ``workers`` is part of the model, as their moves are averaged. A toxic row counts
+    ``toxic_weight`` times, as clean rows are far more.
     """
 
     max_rows: int = 60_000
     bits: int = 20
     alpha: float = 1.0
     beta: float = 1.0
-    l1: float = 1.5
+    l1: float = 4.0
     l2: float = 0.0
     passes: int = 4
-    workers: int = 6
+    workers: int = 2
+    toxic_weight: float = 4.0
 
 
 @dataclass(frozen=True)
@@ -101,6 +103,7 @@ def _pass(batches: Iterator[pa.RecordBatch], z: np.ndarray, n: np.ndarray, s: Se
             x = np.append(np.unique(features(part, np.array([0, len(part)]), s.bits)[1]), bias)
             w = _weights(z[x], n[x], s)
             g = 1.0 / (1.0 + np.exp(-np.clip(w.sum(), -30, 30))) - label
+            g *= s.toxic_weight if label else 1.0
             rate = (np.sqrt(n[x] + g * g) - np.sqrt(n[x])) / s.alpha
             z[x] += g - rate * w
             n[x] += g * g
