@@ -11,6 +11,7 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from eventloom.llm import chosen_path, decontaminate, language, secrets, toxicity
@@ -279,6 +280,55 @@ def test_toxicity_sums_come_as_one_array(spark):
         assert np.allclose(joined[:size], expected, atol=1e-5) and not joined[size:].any()
 
 
+def test_toxicity_weights_do_not_depend_on_file_splits(spark, odd):
+    documents, labels = (spark.read.parquet(f"{odd}/{t}.parquet") for t in ("documents", "labels"))
+    models = []
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size, spread in (("128m", 1), ("20k", 3), ("128m", 7)):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        models.append(toxicity.fit(documents.repartition(spread), labels))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    first, *others = models
+    assert len(first.index) and first.bias
+    for m in others:
+        assert m.bias == first.bias
+        assert np.array_equal(m.index, first.index) and np.array_equal(m.weight, first.weight)
+
+
+def test_toxicity_learns_as_plain_ftrl(spark):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(["ash", "bay", "fig", "yew", "awful"][: 4 + i % 2], 6)) for i in range(60)] + ["", None]
+    labels = [int("awful" in (t or "")) for t in texts]
+    s = toxicity.Settings(bits=16, l1=0.3, passes=3, workers=1)
+    documents = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    model = toxicity.fit(documents, spark.createDataFrame(list(enumerate(labels)), "doc_id bigint, toxic int"), s)
+
+    ordered = documents.select("doc_id", toxicity.word_codes(F.coalesce("text", F.lit(""))).alias("codes"))
+    z, n = {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= s.l1:
+            return 0.0
+        return (np.sign(z[i]) * s.l1 - z[i]) / ((s.beta + n[i] ** 0.5) / s.alpha + s.l2)
+
+    known = ordered.orderBy(F.xxhash64("doc_id")).collect()
+    for _ in range(s.passes):
+        for r in known:
+            codes = np.array(r["codes"], np.int32)
+            x = {*toxicity.features(codes, np.array([0, len(codes)]), s.bits)[1].tolist(), 1 << s.bits}
+            w = {i: weight(i) for i in x}
+            label = labels[r["doc_id"]]
+            g = (1 / (1 + np.exp(-sum(w.values()))) - label) * (s.toxic_weight if label else 1)
+            for i in x:
+                old = n.get(i, 0.0)
+                n[i] = old + g * g
+                z[i] = z.get(i, 0.0) + g - (n[i] ** 0.5 - old**0.5) / s.alpha * w[i]
+    expected = {i: weight(i) for i in z if weight(i)}
+    assert abs(model.bias - expected.pop(1 << s.bits)) < 1e-3
+    got = dict(zip(model.index.tolist(), model.weight.tolist()))
+    assert got.keys() == expected.keys() and all(abs(got[i] - expected[i]) < 1e-3 for i in got)
+
+
 def counts(text):
     words = WORD.findall(text or "")
     windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
