@@ -23,12 +23,16 @@ MAP_BITS = 22
 
 @dataclass(frozen=True)
 class Budget:
-    """``rate``: edits a character of an item. ``block_chars``: characters of items searched at a time."""
+    """``rate``: edits a character of an item. ``block_chars``: characters of items searched at a time.
+
+    ``slice_hits``: shared q-grams spread out at a time, however common a q-gram is.
+    """
 
     q: int = 8
     rate: float = 0.08
     block_chars: int = 4_000_000
     chunk_chars: int = 1_000_000
+    slice_hits: int = 2_000_000
 
     def edits(self, m: int) -> int:
         """As the rate says, but so few that four shared q-grams are needed at least."""
@@ -132,24 +136,31 @@ class Searcher:
         if not len(at):
             return
         doc = np.searchsorted(begins, at, "right") - 1
-        counts = self.count[gram]
-        before = np.cumsum(counts) - counts
-        hit = np.repeat(np.arange(len(at)), counts)
-        posting = np.repeat(self.first[gram] - before, counts) + np.arange(len(hit))
-        item = self.item[posting]
-        # Not below 0: a text's own diagonals begin at minus the item's length.
-        diagonal = at[hit] - begins[doc[hit]] - self.place[posting] + self._longest()
-        half = self.edits[item] + 1
-        band = diagonal // half
         bands = int(sizes.max()) + 2 * self._longest() + 2
-        keys = (item * bands + band) * len(texts) + doc[hit]
-        keys, shared = np.unique(np.concatenate([keys, keys[band > 0] - len(texts)]), return_counts=True)
+        keys, shared = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for part, posting in self._hits(gram):
+            item = self.item[posting]
+            # Not below 0: a text's own diagonals begin at minus the item's length.
+            diagonal = at[part] - begins[doc[part]] - self.place[posting] + self._longest()
+            band = diagonal // (self.edits[item] + 1)
+            own = (item * bands + band) * len(texts) + doc[part]
+            own, n = np.unique(np.concatenate([own, own[band > 0] - len(texts)]), return_counts=True)
+            keys, back = np.unique(np.concatenate([keys, own]), return_inverse=True)
+            shared = np.bincount(back, np.concatenate([shared, n]), len(keys)).astype(np.int64)
         items = keys // len(texts) // bands
         for key in keys[shared >= self.needed[items]].tolist():
             rest, d = divmod(key, len(texts))
             i, b = divmod(rest, bands)
             self._verify(texts[d], i, b * int(self.edits[i] + 1) - self._longest(), out[d])
 
+    def _hits(self, gram: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(number of a found gram, posting) of all postings, ``slice_hits`` at a time."""
+        ends = np.cumsum(self.count[gram])
+        for low in range(0, int(ends[-1]), self.budget.slice_hits):
+            hit = np.arange(low, min(low + self.budget.slice_hits, int(ends[-1])))
+            part = np.searchsorted(ends, hit, "right")
+            yield part, hit - (ends[part] - self.count[gram[part]]) + self.first[gram[part]]
+
     def _longest(self) -> int:
         return max(map(len, self.codes))
 
@@ -168,18 +179,19 @@ class Searcher:
             found[number] = min(edits, found.get(number, edits))
 
 
-def blocks(benchmark: DataFrame, budget: Budget, id_col: str = "item_id", text_col: str = "text") -> Iterator[list[tuple[int, str]]]:
+def blocks(benchmark: DataFrame, budget: Budget, id_col: str = "item_id", text_col: str = "text") -> Iterator[list[tuple[int | None, str]]]:
     """The items in blocks of about ``block_chars`` normalised characters, one at a time on the driver.
 
-    Null and empty items are left out, as they are no passage; a repeated item keeps each id.
+    Null and empty texts are left out, as they are no passage; a repeated item keeps each id, and
+    items without id are searched like others.
     """
     items = benchmark.select(F.col(id_col).cast("bigint").alias("id"), letters_and_digits(F.col(text_col)).alias("text"))
-    items = items.where("id is not null and text != ''")
+    items = items.where("text != ''")
     total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
     number = -(-total // budget.block_chars)
     for b in range(number):
         part = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(number)) == b)
-        yield sorted((r["id"], r["text"]) for r in part.toLocalIterator())
+        yield sorted(((r["id"], r["text"]) for r in part.toLocalIterator()), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
 
 
 def find_items(
@@ -191,7 +203,9 @@ def find_items(
     item_id_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """``keep``'s columns, ``items`` (ids in order) and ``edits`` (fewest of each) for every document.
+    """``keep``'s columns, ``items`` (ids in order), ``edits`` (fewest of each) and ``contaminated`` for every document.
+
+    Items without id are in no list; a document that holds one is contaminated all the same.
 
     A map over the documents for each block of items: nothing is shuffled, and each text is
     searched whole. Null and empty texts have no items.
@@ -202,27 +216,33 @@ def find_items(
         letters_and_digits(F.col(text_col)).alias("_text"),
         F.array().cast("array<bigint>").alias("items"),
         F.array().cast("array<int>").alias("edits"),
+        F.lit(False).alias("contaminated"),
     )
 
-    def searched(rows: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
+    def searched(rows: DataFrame, items: list[tuple[int | None, str]]) -> DataFrame:
         shared = context.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            searcher = Searcher(shared.value, budget)
+            item_ids = [i for i, _ in shared.value]
+            searcher = Searcher([(n, t) for n, (_, t) in enumerate(shared.value)], budget)
             for batch in batches:
-                *kept, texts, old_items, old_edits = batch.columns
+                *kept, texts, old_items, old_edits, old_marks = batch.columns
                 found = searcher.search(texts.to_pylist())
+                marks = [bool(new) or mark for new, mark in zip(found, old_marks.to_pylist())]
                 merged = []
                 for new, ids, edits in zip(found, old_items.to_pylist(), old_edits.to_pylist()):
-                    for number, n in zip(ids, edits):
-                        new[number] = min(n, new.get(number, n))
-                    merged.append(sorted(new.items()))
+                    fewest = dict(zip(ids, edits))
+                    for number, n in new.items():
+                        if (i := item_ids[number]) is not None:
+                            fewest[i] = min(n, fewest.get(i, n))
+                    merged.append(sorted(fewest.items()))
                 yield pa.RecordBatch.from_arrays(
                     [
                         *kept,
                         texts,
                         pa.array([[x for x, _ in m] for m in merged], pa.list_(pa.int64())),
                         pa.array([[x for _, x in m] for m in merged], pa.list_(pa.int32())),
+                        pa.array(marks, pa.bool_()),
                     ],
                     names=batch.schema.names,
                 )

@@ -175,13 +175,44 @@ def ordinary(run: str, symbols: str, battery: Battery = Battery()) -> float:
     return min(1.0, len(ENCODINGS) * 2.0 ** -max(bits, 0.0))
 
 
+def _merged(spans: list[tuple[int, str, int]]) -> list[tuple[int, int]]:
+    """The stretches that spans cover, in order and apart."""
+    out: list[tuple[int, int]] = []
+    for start, _, end in sorted(spans):
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
+def _uncovered(start: int, end: int, covered: list[tuple[int, int]], i: int) -> Iterator[tuple[int, int]]:
+    """The parts of a run outside of ``covered``, of which ``i`` is the first that ends behind its start."""
+    while i < len(covered) and covered[i][0] < end:
+        if covered[i][0] > start:
+            yield start, covered[i][0]
+        start = max(start, covered[i][1])
+        i += 1
+    if start < end:
+        yield start, end
+
+
+def _candidates(text: str, taken: list[tuple[int, str, int]]) -> Iterator[tuple[int, int, str]]:
+    """Long runs, and what is long of those that other spans cover in part; one walk along both lists."""
+    covered, i = _merged(taken), 0
+    for m in RUN.finditer(text):
+        end = m.start() + len(m.group().rstrip("="))
+        while i < len(covered) and covered[i][1] <= m.start():
+            i += 1
+        for s, e in _uncovered(m.start(), end, covered, i):
+            run = text[s:e]
+            if e - s + (m.end() - end) * (e == end) >= RUN_LENGTH and not run.isdigit():
+                yield s, e, run
+
+
 def _random_spans(text: str, taken: list[tuple[int, str, int]], battery: Battery) -> list[tuple[int, int]]:
     tested = []
-    for m in RUN.finditer(text):
-        start, run = m.start(), m.group().rstrip("=")
-        end = start + len(run)
-        if len(m.group()) < RUN_LENGTH or run.isdigit() or any(s < end and start < e for s, _, e in taken):
-            continue
+    for start, end, run in _candidates(text, taken):
         symbols = infer_encoding(run)
         if symbols is None or any(test(run, symbols) < battery.level for test in (uniformity, runs, serial)):
             continue
