@@ -11,7 +11,7 @@ from eventloom.functions.strings import key_label, split_whitespace
 from eventloom.operators import flatten, joins, lookup, ordered, parse, relational, windows
 from eventloom.operators.watch import Watch
 from eventloom.plans import derive, jobs
-from eventloom.session import scratch_path
+from eventloom.session import scratch_path, stage_table
 from eventloom.sources import keyword_rows, read_folder, read_lines, read_positions, stream_lines
 from eventloom.streaming.keyed_table import KeyedTable
 from eventloom.streaming.sinks import run_to_end
@@ -88,11 +88,12 @@ def content_running(spark, folder):
     lines = derive.numbered_content_lines(table(spark, folder, "lineitem"))
     log = read_positions(spark, _text_folder(lines, "content-log"))
     docs = parse.good_rows(parse.parse_json(log, f"id string, {jobs.CONTENT_SCHEMA}"))
-    keep = ["file_path", "line", "id"]
+    keep = ["file", "line", "id"]
     rows = flatten.explode_two_levels(docs.withColumn("id", F.col("doc.id")), "doc.ZT_content", "ZT_leaf_video", "ctype", "ctype", keep)
     # Of one line's types each comes once, so file, line and type are an order.
-    typed = flatten.nonempty(rows, "ctype")
-    totals = ordered.running_total(typed, ["ctype"], ["file_path", "line"], "n")
+    # Staged, as a cut by range evaluates its input twice: lines are parsed once.
+    typed = stage_table(flatten.nonempty(rows, "ctype"), "typed")
+    totals = ordered.running_total(typed, ["ctype"], ["file", "line"], "n")
     return totals.select("id", "ctype", "total")
 
 

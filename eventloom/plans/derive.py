@@ -60,8 +60,8 @@ def numbered_content_lines(lineitem: DataFrame) -> DataFrame:
         F.col("l_linenumber").cast("string"), F.lit('}]},{"ZT_leaf_video":[{"ctype":""}]}]}'),
     )
     place = ["l_orderkey", "l_linenumber", "l_returnflag"]
-    lines = lineitem.select(*place, line.alias("value"))
-    return lines.repartitionByRange(*place).sortWithinPartitions(*place).select("value")
+    # A line is put together when its place is known, so that only the place is shuffled and sorted.
+    return lineitem.select(*place).repartitionByRange(*place).sortWithinPartitions(*place).select(line.alias("value"))
 
 
 def page_lines(events: DataFrame) -> DataFrame:

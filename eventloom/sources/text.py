@@ -14,12 +14,15 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_positions(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with their place: ``value, file_path, line`` (from 0 in each file).
+    """Lines with their place: ``value, file_path, line`` (from 0 in each file), and ``file``, a file's number by path.
+
+    ``file`` and ``line`` order lines as ``file_path`` and ``line`` do and are shorter to shuffle and sort by.
 
     A file is read in blocks, by as many tasks as it has blocks. A line's place is its place in the
     block plus the lines of the file's earlier blocks; only one row a block is added up in order.
     Lines are staged once with the number the scan gave them, as a second scan could cut
-    files into other blocks.
+    files into other blocks. The blocks are staged too: their measured size, not that of the
+    lines, then chooses the join, so lines are not shuffled and sorted for it.
     """
     meta = F.col("_metadata")
     scanned = spark.read.text(path).select(
@@ -32,10 +35,13 @@ def read_positions(spark: SparkSession, path: str) -> DataFrame:
     blocks = lines.groupBy("file_path", "_start").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy("file_path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
     begins = blocks.select(
-        "file_path", "_start", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift")
+        "file_path",
+        "_start",
+        (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
+        (F.dense_rank().over(Window.orderBy("file_path")) - 1).alias("file"),
     )
-    placed = lines.join(begins, ["file_path", "_start"])
-    return placed.select("value", "file_path", (F.col("_id") + F.col("_shift")).alias("line"))
+    placed = lines.join(stage_table(begins, "blocks"), ["file_path", "_start"])
+    return placed.select("value", "file_path", (F.col("_id") + F.col("_shift")).alias("line"), "file")
 
 
 def read_folder(spark: SparkSession, folder: str) -> DataFrame:
