@@ -38,7 +38,8 @@ from pyspark.sql import functions as F
 
 from eventloom.llm.common import extended, let
 from eventloom.llm.files import open_store
-from eventloom.session import scratch_path
+from eventloom.llm.pieces import cut, lists, marks
+from eventloom.session import scratch_path, short_plan_texts
 
 # Fixed value: the characters of Unicode's White_Space property.
 WHITE = r"\t-\r \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
@@ -120,23 +121,26 @@ class MergeTable:
         ]
         self.offsets, self.entries = numbers(table.offsets), numbers(entries)
 
-    def _best(self, ids: Column) -> Column:
-        """rank * PLACES + place of the pair to merge next; null or at least ``NONE`` if there is none."""
-        return F.array_min(
-            F.transform(
-                ids,
-                lambda x, i: self.entries[self.offsets[x] + F.get(ids, i + 1)].bitwiseXOR(F.shiftleft(x, SHIFT)) + i,
-            )
-        )
+    def fold(self, word: Column, then: Callable[[Column], Column] = lambda ids: ids) -> Column:
+        """``then`` of the ids (array of bigint) of a word of up to ``LONG`` bytes.
+
+        The literals are bound to variables outside all else, as each expression around a literal writes it
+        out anew for the plan's text.
+        """
+        return let(self.entries, lambda entries: let(self.offsets, lambda offsets: then(self._fold(word, offsets, entries))))
 
-    def fold(self, word: Column) -> Column:
-        """Ids (array of bigint) of a word of up to ``LONG`` bytes."""
+    def _fold(self, word: Column, offsets: Column, entries: Column) -> Column:
         latin = F.decode(F.encode(word, "utf-8"), "iso-8859-1")  # one character a byte
         first = F.transform(F.split(latin, ""), lambda c: F.get(numbers(self.bytes_ids), F.ascii(c)))
-        # The rank map stands in the expression once: its plan is held by the driver in many places.
         state = lambda ids, best: F.struct(ids.alias("ids"), best.alias("best"))
         none, unknown = F.lit(None).cast("bigint"), F.lit(-1).cast("bigint")
 
+        def best_of(ids: Column) -> Column:
+            """rank * PLACES + place of the pair to merge next; null or at least ``NONE`` if there is none."""
+            return F.array_min(
+                F.transform(ids, lambda x, i: entries[offsets[x] + F.get(ids, i + 1)].bitwiseXOR(F.shiftleft(x, SHIFT)) + i)
+            )
+
         def merge(ids: Column, best: Column) -> Column:
             place = best.bitwiseAND(F.lit(PLACES - 1)).cast("int")
             merged = F.array(F.shiftright(best, PLACES.bit_length() - 1))
@@ -145,7 +149,7 @@ class MergeTable:
 
         def step(s: Column, _: Column) -> Column:
             found = let(
-                self._best(s["ids"]),
+                best_of(s["ids"]),
                 lambda b: F.when(b < NONE, state(merge(s["ids"], b), unknown)).otherwise(state(s["ids"], none)),
             )
             return F.when(s["best"].isNull(), s).otherwise(found)
@@ -194,19 +198,20 @@ def word_pattern(pattern: str) -> regex.Pattern:
     return regex.compile(pattern.replace(r"[^\s", f"[^{WHITE}").replace(r"\s", f"[{WHITE}]").replace(r"\S", f"[^{WHITE}]"))
 
 
-def chunks(text: str) -> list[str]:
-    """``text`` cut before single blanks, where no word of a byte-level pattern goes across.
+MARKS = marks()
+ROWS = 2000  # texts that are cut at a time
 
-    A blank next to other white space stays inside its chunk.
-    """
-    first, *rest = text.split(" ")
-    out = [first]
-    for part in rest:
-        if part and not part[0].isspace() and out[-1] and not out[-1][-1].isspace():
-            out.append(" " + part)
-        else:
-            out[-1] += " " + part
-    return out
+
+def pieces_of(column: pa.Array) -> Iterator[tuple[pa.LargeStringArray, np.ndarray]]:
+    """The pieces of some texts at a time, and each text's number of them; null texts are empty."""
+    texts = column.cast(pa.string()).fill_null("")
+    for i in range(0, len(texts), ROWS):
+        yield cut(texts.slice(i, ROWS), MARKS)
+
+
+def chunks(text: str) -> list[str]:
+    """``text`` cut before single blanks and punctuation, where no word of a byte-level pattern goes across."""
+    return [piece for pieces, _ in pieces_of(pa.array([text])) for piece in pieces.to_pylist()]
 
 
 def words_by_task(texts: DataFrame, pattern: str) -> DataFrame:
@@ -224,8 +229,8 @@ def words_by_task(texts: DataFrame, pattern: str) -> DataFrame:
             )
 
         for batch in batches:
-            for text in batch.column(0):
-                held.update(chunks(text.as_py() or ""))
+            for pieces, _ in pieces_of(batch.column(0)):
+                held.update(pieces.unique().to_pylist())
                 if len(held) >= SET:
                     yield rows(held)
                     held = set()
@@ -240,7 +245,7 @@ def fold_words(named: DataFrame, merges: MergeTable) -> DataFrame:
     A word is named once by a task, so its group is bounded by the number of tasks.
     """
     by_word = named.repartition("word").groupBy("word").agg(F.collect_set("task").alias("tasks"))
-    folded = by_word.select("word", "tasks", F.unhex(id_hex(merges.fold(F.col("word")))).alias("ids"))
+    folded = by_word.select("word", "tasks", merges.fold(F.col("word"), lambda ids: F.unhex(id_hex(ids))).alias("ids"))
     return folded.select(F.explode("tasks").alias("task"), "word", "ids")
 
 
@@ -292,7 +297,9 @@ def encode(
     """``keep``'s columns with ``ids`` (array of int) of every whole text and ``ids_sha256`` over them."""
     folder = scratch_path(documents.sparkSession, "words")
     named = words_by_task(documents.select(text_col), pattern)
-    fold_words(named, MergeTable(ranks)).repartition("task").write.partitionBy("task").parquet(folder)
+    folded = fold_words(named, MergeTable(ranks)).repartition("task")
+    with short_plan_texts(documents.sparkSession):
+        folded.write.partitionBy("task").parquet(folder)
 
     source = documents.select(*[c.alias(n) for n, c in keep.items()], F.col(text_col).alias("_text"))
     schema = extended(source, "ids array<int>, ids_sha256 string", ("_text",))
@@ -302,22 +309,29 @@ def encode(
         known = KnownWords(shared.value).read(f"{folder}/task={TaskContext.get().partitionId()}")
         ids_of = ChunkIds(known, word_pattern(pattern).findall)
         for batch in batches:
-            raw = [b"".join(map(ids_of.__getitem__, chunks(text.as_py() or ""))) for text in batch.column(batch.num_columns - 1)]
-            ends = np.cumsum([0, *map(len, raw)]) // 4
-            ids = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(raw), "<i4"))).cast(pa.list_(pa.int32()))
-            shas = pa.array([hashlib.sha256(r).hexdigest() for r in raw], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids, shas], names=schema.names)
+            done = 0
+            for pieces, per_text in pieces_of(batch.column(batch.num_columns - 1)):
+                flat = pieces.dictionary_encode()
+                coded = lists(list(map(ids_of.__getitem__, flat.dictionary.to_pylist())), np.int32)
+                out = coded.take(flat.indices)
+                ends = out.offsets.to_numpy()[np.concatenate([[0], np.cumsum(per_text)])]
+                raw = memoryview(out.values.to_numpy().astype("<i4", copy=False).tobytes())
+                shas = [hashlib.sha256(raw[a * 4 : b * 4]).hexdigest() for a, b in itertools.pairwise(ends.tolist())]
+                ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), out.values)
+                kept = [c.slice(done, len(per_text)) for c in batch.columns[:-1]]
+                yield pa.RecordBatch.from_arrays([*kept, ids, pa.array(shas, pa.string())], names=schema.names)
+                done += len(per_text)
 
     return source.mapInArrow(run, schema)
 
 
-def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
-    """The bytes of ``ids``: their pieces from a literal, joined as hexadecimal digits."""
+def decode(ids: Column, ranks: dict[bytes, int], then: Callable[[Column], Column] = lambda raw: raw) -> Column:
+    """``then`` of the bytes of ``ids``: their pieces from a literal, joined as hexadecimal digits."""
     pieces = [""] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
         pieces[rank] = token.hex()
     table = F.split(F.lit(",".join(pieces)), ",")
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(table, i)), ""))
+    return let(table, lambda t: then(F.unhex(F.array_join(F.transform(ids, lambda i: F.get(t, i)), ""))))
 
 
 def round_trip(
@@ -326,7 +340,7 @@ def round_trip(
     """``keep``'s columns with ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` and, if asked for, ``ids``."""
     ranks = read_ranks(ranks_path)
     encoded = encode(documents, ranks, pattern, keep)
-    decoded = F.sha2(decode(F.col("ids"), ranks), 256)
+    decoded = decode(F.col("ids"), ranks, lambda raw: F.sha2(raw, 256))
     out = encoded.select(
         *keep, F.size("ids").cast("bigint").alias("n_tokens"), "ids_sha256", decoded.alias("decoded_sha256"), "ids"
     )

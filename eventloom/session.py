@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,6 +61,22 @@ def drop_scratch(spark: SparkSession) -> None:
     files.delete(folder, True)
 
 
+@contextmanager
+def short_plan_texts(spark: SparkSession, characters: int = 10_000) -> Iterator[None]:
+    """Bounds the text of plans of queries that run meanwhile.
+
+    The driver makes, keeps and logs that text at each step of a query's re-planning, with every large
+    literal written out. Plans and results stay as they are.
+    """
+    name = "spark.sql.maxPlanStringLength"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(characters))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stage_table(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back.
 
