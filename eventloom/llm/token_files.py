@@ -22,20 +22,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.llm.common import whole_text
 from eventloom.llm.files import committed, open_store
+from eventloom.llm.pieces import cut, lists, marks
 from eventloom.session import scratch_path, stage_table
 
 MAGIC = b"TOKSHRD1"
 SAMPLE = 256
-# The characters of Unicode's White_Space property, in ASCII and beyond.
-ASCII_WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
-WHITE_BEYOND_ASCII = r"[\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
 
 class EliasFano:
@@ -150,11 +147,12 @@ def _worker_memory() -> dict:
 class PieceEncoder:
     """Ids of texts; each distinct piece is encoded by the library once while it is remembered.
 
-    Up to ``remember`` pieces of up to ``longest`` characters are remembered. The strings of added
+    Up to ``remember`` pieces of up to ``longest`` characters are remembered; when half of them are
+    new, those not seen since the last such time are forgotten. The strings of added
     tokens are those tokens, as is the library's default; a cut is never inside one without white space.
-    A text is cut before each white space that follows another character: no token of a
-    byte-level pre-tokeniser spans such a place, and what it does on either side does not
-    depend on the other. Texts with white space beyond ASCII are a piece of their own.
+    A text is cut before each white space that follows another character and before punctuation after
+    an ASCII letter or digit: no token of a byte-level pre-tokeniser spans such a place, and what it
+    does on either side does not depend on the other.
     """
 
     def __init__(self, tokenizer_json: str, remember: int = 600_000, longest: int = 64):
@@ -162,51 +160,41 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        added = "".join(t["content"] for t in json.loads(tokenizer_json).get("added_tokens") or [])
+        self.marks = marks(added)
         own = hashlib.md5(tokenizer_json.encode()).hexdigest()
-        self.known: dict[str, bytes] = _worker_memory().setdefault(own, {})
+        self.memory: list[dict[str, bytes]] = _worker_memory().setdefault(own, [{}, {}])  # of late, and before
         self.remember, self.longest = remember, longest
 
-    def cut(self, texts: pa.StringArray) -> tuple[pa.LargeStringArray, np.ndarray]:
-        """Pieces, which share the texts' memory, and each text's number of pieces."""
-        offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
-        start = offsets[0]
-        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[start : offsets[-1]]
-        offsets = offsets - start
-        white = ASCII_WHITE[data]
-        begins = np.zeros(len(data) + 1, bool)
-        begins[1:-1] = white[1:] & ~white[:-1]
-        for k in np.flatnonzero(pc.match_substring_regex(texts, WHITE_BEYOND_ASCII).to_numpy(zero_copy_only=False)):
-            begins[offsets[k] : offsets[k + 1]] = False
-        filled = offsets[1:] > offsets[:-1]
-        begins[offsets[:-1][filled]] = True
-        places = np.flatnonzero(begins[:-1])
-        counts = np.searchsorted(places, offsets[1:]) - np.searchsorted(places, offsets[:-1])
-        bounds = np.append(places, len(data)).astype(np.int64)
-        pieces = pa.LargeStringArray.from_buffers(len(places), pa.py_buffer(bounds), pa.py_buffer(data))
-        return pieces, counts
+    @property
+    def known(self) -> dict[str, bytes]:
+        return self.memory[0]
 
     def encode(self, texts: pa.StringArray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids of each text, all ids) with ``end_id`` after each text."""
-        pieces, per_text = self.cut(texts)
+        pieces, per_text = cut(texts, self.marks, any_white=True)
         flat = pieces.dictionary_encode()
         words = flat.dictionary.to_pylist()
-        if len(self.known) > self.remember:
-            self.known.clear()
-        known = dict(zip(words, map(self.known.get, words)))  # of this call
+        if len(self.known) > self.remember // 2:
+            self.memory[:] = {}, self.known
+        late, before = self.memory
+        known = dict(zip(words, map(late.get, words)))  # of this call
         new = [w for w, ids in known.items() if ids is None]
+        again = [(w, ids) for w in new if (ids := before.get(w)) is not None] if before else []
+        if again:
+            known.update(again)
+            late.update(again)
+            new = [w for w in new if known[w] is None]
         for i in range(0, len(new), 20_000):
             part = new[i : i + 20_000]
             for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
                 known[w] = array("I", e.ids).tobytes()
                 if len(w) <= self.longest:
-                    self.known[w] = known[w]
+                    late[w] = known[w]
         # The end of a text is a piece of one id of its own.
-        coded = [*known.values(), array("I", [end_id]).tobytes()]
-        bounds = np.cumsum(np.fromiter(map(len, [b"", *coded]), np.int64, len(coded) + 1)) // 4
-        lists = pa.LargeListArray.from_arrays(pa.array(bounds), pa.array(np.frombuffer(b"".join(coded), np.uint32)))
+        coded = lists([*known.values(), array("I", [end_id]).tobytes()], np.uint32)
         ends = np.cumsum(per_text)
-        which = np.insert(flat.indices.to_numpy(), ends, len(words))
-        out = lists.take(pa.array(which))
+        out = coded.take(pa.array(np.insert(flat.indices.to_numpy(), ends, len(words))))
         counts = np.diff(out.offsets.to_numpy()[np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])])
         return counts, out.values.to_numpy()
 
